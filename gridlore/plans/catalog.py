@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from gridlore.plans import fact_queries, scalar_queries  # noqa: F401
+from gridlore.plans import fact_queries, scalar_queries, stats_queries  # noqa: F401
 from gridlore.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
