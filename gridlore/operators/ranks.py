@@ -32,7 +32,7 @@ def _with_bucket(df: DataFrame, value: str) -> DataFrame:
     """Adds ``_b``: non-decreasing in ``value`` under Spark's order (null first, NaN last)."""
     df = df.withColumn("_d", F.col(value).cast("double"))
     cut = Bucketizer(splits=_cut_points(df, "_d"), inputCol="_d", outputCol="_bd", handleInvalid="keep")
-    known = cut.transform(df.withColumn("_null", F.col("_d").isNull()).na.fill({"_d": 0.0}))
+    known = cut.transform(df.withColumns({"_null": F.col("_d").isNull(), "_d": F.coalesce("_d", F.lit(0.0))}))
     bucket = F.when(F.col("_null"), -1).otherwise(F.col("_bd").cast("int"))
     return known.withColumn("_b", bucket).drop("_d", "_bd", "_null")
 

@@ -106,9 +106,9 @@ def clf_decision_tree(spark, folder):
 
 @query("clf_tree_rules")
 def clf_tree_rules(spark, folder):
-    """The tree as text, one row per line."""
+    """The tree as text, one row per line; the heading with the random model name is left out."""
     model, _, _ = modeling.fit_classifier("decision_tree", *_split(spark, folder))
-    lines = list(enumerate(model.toDebugString.rstrip().split("\n")))
+    lines = list(enumerate(model.toDebugString.rstrip().split("\n")[1:]))
     return spark.createDataFrame(lines, "linea int, regla string")
 
 

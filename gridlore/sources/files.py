@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 from gridlore.functions.text import snake, snake_columns, snake_name
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """CSV with a header line."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, multiline: bool = False) -> DataFrame:
+    """CSV with a header line. Cells with line breaks need ``multiline``, which reads a file in one task."""
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multiline).csv(path)
 
 
 def _texts(names: Sequence[str]) -> T.StructType:
@@ -28,7 +28,7 @@ def read_csv_with_banner(spark: SparkSession, path: str | Sequence[str], schema:
     repeats the column names, a banner has text in its first cell only.
     """
     names = [f.name for f in schema]
-    raw = spark.read.schema(_texts(names)).csv(path)
+    raw = spark.read.schema(_texts(names)).option("escape", '"').csv(path)
     header = F.lit(True)
     for n in names:
         header = header & F.coalesce(snake(n) == snake_name(n), F.lit(False))
