@@ -32,14 +32,17 @@ _TO_UNDERSCORE = " \n-/"
 _ACCENTED, _PLAIN = "áéíóúñ", "aeioun"
 _DROPPED = ".,[]()"
 
+# fixed value: all characters that count as white space
+WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip(c: Column | str) -> Column:
-    """Removes all white space at both ends; ``trim`` would leave tabs and line ends."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Removes all white space at both ends; a plain ``trim`` would leave tabs and line ends."""
+    return F.btrim(_col(c), F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c: Column | str) -> Column:

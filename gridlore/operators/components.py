@@ -29,10 +29,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return pointed.filter(F.col("u") != F.col("v")).distinct()
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Order-free summary of the edge set, to see that a round changed nothing."""
-    h = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count("*"), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every edge points at the centre of a star: each ``u`` once, and no ``v`` pointing further."""
+    if not edges.groupBy("u").count().filter("count > 1").isEmpty():
+        return False
+    centres = edges.select(F.col("v").alias("u")).distinct()
+    return centres.join(edges.select("u"), "u", "left_semi").isEmpty()
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -41,14 +43,10 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     ``edges`` has columns ``u`` and ``v``. Each round is written to the shared folder, so lineage stays short
     and a lost executor costs one round at most.
     """
-    current = materialize(edges.filter(F.col("u") != F.col("v")).select("u", "v").distinct(), "star-edges")
-    seen = _fingerprint(current)
-    while seen[0]:
+    current = materialize(edges.filter(F.col("u") != F.col("v")).select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star-edges")
+    while not _is_stars(current):
         current = materialize(_small_star(_large_star(current)), "star-edges")
-        now = _fingerprint(current)
-        if now == seen:
-            break
-        seen = now
     pointers = current.select(F.col("u").alias("node"), F.col("v").alias("_root"))
     return nodes.select("node").join(pointers, "node", "left").select(
         "node", F.coalesce("_root", "node").alias("component"))

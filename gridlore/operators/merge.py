@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridlore.session import materialize
 
@@ -57,30 +59,45 @@ def upsert_counters(merged: DataFrame) -> DataFrame:
         F.count_if(F.col(STATE).isin("matched", "modified")).alias("matched"))
 
 
-def upsert_table(path: str, source: DataFrame, key: str, partition_by: Sequence[str]) -> DataFrame:
+def _touched(df: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of the partitions the source has rows for.
+
+    The values of each partition column become literals, so other partitions are not even listed for reading; they
+    are folder names of the table, which the driver lists anyway. The semi-join then keeps the exact combinations.
+    """
+    values = source.agg(*[F.collect_set(c).alias(c) for c in columns],
+                        *[F.max(F.col(c).isNull()).alias(f"_null_{c}") for c in columns]).first()
+    for c in columns:
+        wanted = F.col(c).isin(values[c])
+        df = df.filter(wanted | F.col(c).isNull() if values[f"_null_{c}"] else wanted)
+    pairs = source.select(*[F.col(c).alias(f"_p_{c}") for c in columns]).distinct()
+    return df.join(pairs, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in columns], "left_semi")
+
+
+def upsert_table(path: str, source: DataFrame, key: str, partition_by: Sequence[str],
+                 schema: StructType | None = None) -> DataFrame:
     """Upserts into a partitioned Parquet table and returns the counters.
 
     ``partition_by`` must be part of what the key is made of, so a key never changes partition. Only partitions
     the source touches are read and replaced. The merge is written aside first: the table is never read and
-    written in one job, and repeating a failed run gives the same table.
+    written in one job, and repeating a failed run gives the same table. ``schema`` is the table's, if it has
+    columns the source lacks.
     """
     spark = source.sparkSession
     source = materialize(source, "upsert-source")
     try:
-        stored = spark.read.parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        stored = spark.read.schema(schema or source.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         stored = None
     if stored is None:
         merged = source.withColumn(STATE, F.lit("inserted"))
     else:
-        touched = source.select(*[F.col(c).alias(f"_p_{c}") for c in partition_by]).distinct()
-        on = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in partition_by]
-        merged = upsert(stored.join(touched, on, "left_semi"), source, key)
+        merged = upsert(_touched(stored, source, partition_by), source, key)
     merged = materialize(merged, "upsert-merged")
-    (merged.drop(STATE).hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    (merged.drop(STATE).hint("rebalance", *partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
     return upsert_counters(merged)
 
 

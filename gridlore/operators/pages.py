@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlore.functions.text import strip
+
 # fixed values: notices that mean the site refused the request
 BLOCK_NOTICES = ["captcha", "robot", "unusual activity"]
 # fixed value: pages followed from one start page
@@ -21,7 +23,7 @@ def element_texts(df: DataFrame, tag: str, keep: Sequence[str], html: str = "htm
     """Trimmed text of every such element that holds plain text, with its place on the page."""
     found = F.regexp_extract_all(F.col(html), F.lit(rf"<{tag}(?:\s[^>]*)?>([^<]*)</{tag}>"), F.lit(1))
     return (df.select(*keep, F.posexplode(found).alias("posicion", "texto"))
-            .withColumn("texto", F.regexp_replace("texto", r"^\s+|\s+$", "")))
+            .withColumn("texto", strip("texto")))
 
 
 def cards(df: DataFrame, card: str, fields: dict[str, str], keep: Sequence[str], first: int | None = None,
@@ -34,7 +36,7 @@ def cards(df: DataFrame, card: str, fields: dict[str, str], keep: Sequence[str],
     rows = df.select(*keep, F.posexplode(blocks).alias("posicion", "_card"))
     return rows.select(*keep, "posicion", *[
         F.when(F.col("_card").rlike(pattern),
-               F.regexp_replace(F.regexp_extract("_card", pattern, 1), r"^\s+|\s+$", "")).alias(name)
+               strip(F.regexp_extract("_card", pattern, 1))).alias(name)
         for name, pattern in fields.items()])
 
 

@@ -63,13 +63,13 @@ def _unpivot(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) ->
 
 
 def describe(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """Long form: one row per column."""
-    return _unpivot(df, columns).groupBy("variable").agg(
-        F.count("x").alias("n"),
-        F.round(F.avg("x"), digits).alias("media"),
-        F.round(F.stddev("x"), digits).alias("desviacion"),
-        F.round(F.min("x"), digits).alias("minimo"),
-        F.round(F.max("x"), digits).alias("maximo"))
+    """One row per column, from one aggregate over the frame."""
+    measures = {"n": F.count, "media": F.avg, "desviacion": F.stddev, "minimo": F.min, "maximo": F.max}
+    row = df.agg(*[fn(c).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, fn in measures.items()])
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(f"n_{i}").alias("n"),
+                 *[F.round(F.col(f"{name}_{i}").cast("double"), digits).alias(name) for name in measures if name != "n"])
+        for i, c in enumerate(columns)])))
 
 
 def quartiles(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridlore.functions.text import classify
 from gridlore.operators import cleaning, periods, profiles
 from gridlore.operators.reshape import measures_to_rows
 from gridlore.plans import inputs
@@ -226,5 +225,5 @@ def profile_features(spark, folder):
 @query("category_rule", f"""
 WITH {LINES_SQL} SELECT tecnologia, {CATEGORY_SQL} AS categoria, count(*) AS registros FROM lines GROUP BY ALL""")
 def category_rule(spark, folder):
-    return inputs.lines(spark, folder).groupBy("tecnologia", classify("tecnologia").alias("categoria")).agg(
+    return inputs.lines(spark, folder).groupBy("tecnologia", "categoria").agg(
         F.count("*").alias("registros"))

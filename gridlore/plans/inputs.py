@@ -14,7 +14,7 @@ from gridlore.functions.text import classify, item_label
 from gridlore.operators.cleaning import analysis_facts, clean_facts
 from gridlore.operators.profiles import profile_features
 from gridlore.schema import FACT_COLUMNS
-from gridlore.session import materialize
+from gridlore.session import materialize, spread
 
 # fixed values: technology named for each part type
 TECHNOLOGY = {
@@ -43,24 +43,27 @@ def technology(p_type: str = "p_type"):
     return out
 
 
-def _nations(spark: SparkSession, folder: str) -> DataFrame:
-    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", F.col("r_name").alias("pais"), F.col("n_name").alias("region"))
+def _named_nations(rows: DataFrame, spark: SparkSession, folder: str, key: str) -> DataFrame:
+    """Adds country group and nation. Joined to the wide side one table at a time: every table joined to it is then
+    a plain scan whose size is known, so the side Spark broadcasts is never the wide one."""
+    return (rows.join(table(spark, folder, "nation"), F.col(key) == F.col("n_nationkey"))
+            .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .withColumnsRenamed({"r_name": "pais", "n_name": "region"}))
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with nation and technology; join sides are left to size estimates and AQE."""
-    suppliers = table(spark, folder, "supplier").join(
-        _nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", F.col("s_name").alias("actor"), "pais", "region")
-    parts = table(spark, folder, "part").select("p_partkey", technology().alias("tecnologia"))
-    return (table(spark, folder, "lineitem")
-            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-                    F.col("l_shipdate").cast("string").alias("fecha_extraccion"),
-                    F.year("l_shipdate").alias("periodo"), "pais", "region", "actor", "tecnologia"))
+    """Order lines with nation, technology and category; the category is found once per part, not per line."""
+    parts = table(spark, folder, "part").select("p_partkey", technology().alias("tecnologia")).withColumn(
+        "categoria", classify("tecnologia"))
+    rows = (spread(table(spark, folder, "lineitem").select(
+                "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                "l_shipdate"))
+            .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(parts, F.col("l_partkey") == F.col("p_partkey")))
+    return _named_nations(rows, spark, folder, "s_nationkey").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        F.col("l_shipdate").cast("string").alias("fecha_extraccion"), F.year("l_shipdate").alias("periodo"),
+        "pais", "region", F.col("s_name").alias("actor"), "tecnologia", "categoria")
 
 
 def line_facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,7 +80,7 @@ def line_facts(spark: SparkSession, folder: str) -> DataFrame:
         "grupo": F.concat(F.lit("g"), (F.col("l_orderkey") % 2).cast("string")),
         "integrante": F.concat(F.lit("m"), (F.col("l_linenumber") % 3).cast("string")),
         "tema": F.when(F.col("l_linenumber") == 1, "  ").otherwise("energia"),
-        "categoria_energia": F.when(F.col("l_orderkey") % 11 == 0, " \t").otherwise(classify("tecnologia")),
+        "categoria_energia": F.when(F.col("l_orderkey") % 11 == 0, " \t").otherwise(F.col("categoria")),
         "item": F.concat(F.when(F.col("l_orderkey") % 7 == 0, " ").otherwise(""), item_label("region", "tecnologia")),
         "scraper_origen": F.lit("source_lines"),
     })
@@ -85,11 +88,9 @@ def line_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_facts(spark: SparkSession, folder: str) -> DataFrame:
-    customers = table(spark, folder, "customer").join(
-        _nations(spark, folder), F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", F.col("c_name").alias("actor"), "pais", "region")
-    rows = table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    return rows.withColumns({
+    rows = spread(table(spark, folder, "orders")).join(
+        table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return _named_nations(rows, spark, folder, "c_nationkey").withColumns({
         "fuente_sitio": F.lit("orders"),
         "dataset": F.lit("projects"),
         "url_origen": F.lit("landed/orders"),
@@ -101,6 +102,7 @@ def order_facts(spark: SparkSession, folder: str) -> DataFrame:
         "indicador": F.lit("potencia_neta"),
         "categoria_energia": classify("o_orderpriority"),
         "tecnologia": F.col("o_orderpriority"),
+        "actor": F.col("c_name"),
         "item": F.col("o_orderkey").cast("string"),
         "valor": F.col("o_totalprice"),
         "unidad": F.lit("MW"),

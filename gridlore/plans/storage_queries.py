@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlore.functions.numbers import currency_to_double
-from gridlore.functions.text import KEY_FIELDS, record_key
+from gridlore.functions.text import KEY_FIELDS
 from gridlore.operators import merge
 from gridlore.operators.reshape import measures_to_rows
 from gridlore.plans import inputs
 from gridlore.plans.fact_queries import GENERATION_SQL, SOURCE_SQL, source_rows
-from gridlore.plans.inputs import CLEAN_SQL, FACTS_SQL, table
+from gridlore.plans.inputs import CLEAN_SQL, FACTS_SQL, NORMAL_SQL, table
+from gridlore.plans.jobs import integrate, keyed
 from gridlore.plans.registry import query
-from gridlore.schema import FACT_COLUMNS
 from gridlore.session import materialize, new_path
 from gridlore.sources import files, sinks
 from gridlore.sources.loaders import load_generation
@@ -124,6 +124,24 @@ def src_registry_union(spark, folder):
         F.count("*").alias("registros"), F.round(F.sum("valor"), 2).alias("total"))
 
 
+@query("integration_job", f"""
+WITH {NORMAL_SQL},
+pairs AS (SELECT DISTINCT dataset, periodo FROM normal),
+common AS (SELECT max(periodo) AS y FROM (SELECT periodo FROM pairs GROUP BY 1
+           HAVING count(*) = (SELECT count(DISTINCT dataset) FROM pairs)) t),
+kept AS (SELECT DISTINCT dataset, item, periodo, indicador, integrante, valor FROM normal, common
+         WHERE periodo = y AND valor > 0 AND item IS NOT NULL)
+SELECT integrante, dataset, count(*) AS registros, round(sum(valor), 2) AS total FROM kept GROUP BY ALL""")
+def integration_job(spark, folder):
+    """Sources, common period, cleaning, export and upsert in one run, reported by contributor and dataset."""
+    registry = SourceRegistry()
+    registry.register("scraper_orders", inputs.order_facts)
+    registry.register("scraper_lines", inputs.line_facts)
+    clean, _ = integrate(spark, registry, folder, new_path(spark, "job-store"), new_path(spark, "job-export"))
+    return clean.groupBy("integrante", "dataset").agg(
+        F.count("*").alias("registros"), F.round(F.sum("valor"), 2).alias("total"))
+
+
 _EXPORTED = ["integrante", "dataset", "item", "periodo", "region", "categoria_energia", "valor"]
 
 
@@ -214,13 +232,6 @@ def upsert_counters(spark, folder):
     return merge.upsert_counters(merge.upsert(_stored(spark, folder), _arriving(spark, folder), "registro_id"))
 
 
-def _keyed_facts(facts):
-    """Facts under their record key; of rows sharing one the latest, then the greatest, stays."""
-    keyed = facts.select(record_key().alias("registro_id"), *[c for c in FACT_COLUMNS if c not in KEY_FIELDS],
-                         *KEY_FIELDS)
-    return merge.latest_by(keyed, ["registro_id"], ["fecha_extraccion", "valor"])
-
-
 _KEY_SQL = "sha256(" + " || '||' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in KEY_FIELDS) + ")"
 
 
@@ -238,8 +249,8 @@ def upsert_table_reload(spark, folder):
     """Loads all facts into a stored table, then loads those extracted since 2000 again: nothing changes."""
     clean = materialize(inputs.clean(spark, folder), "reload-facts")
     path = new_path(spark, "keyed-table")
-    merge.upsert_table(path, _keyed_facts(clean), "registro_id", ["dataset", "periodo"])
-    again = _keyed_facts(clean.filter(F.col("fecha_extraccion") >= "2000-01-01"))
+    merge.upsert_table(path, keyed(clean), "registro_id", ["dataset", "periodo"])
+    again = keyed(clean.filter(F.col("fecha_extraccion") >= "2000-01-01"))
     counters = merge.upsert_table(path, again, "registro_id", ["dataset", "periodo"])
     report = spark.read.parquet(path).groupBy("dataset", "periodo").agg(
         F.count("*").alias("registros"), F.round(F.sum("valor"), 2).alias("total"))

@@ -59,3 +59,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deals a scan of fewer splits than cores out over all cores; a scan of many splits is left as it is.
+
+    A file of one row group is read by one task, and everything up to the next shuffle would stay there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
