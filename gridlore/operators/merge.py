@@ -92,15 +92,19 @@ def upsert_table(path: str, source: DataFrame, key: str, partition_by: Sequence[
             raise
         stored = None
     if stored is None:
-        merged = source.withColumn(STATE, F.lit("inserted"))
-    else:
-        merged = upsert(_touched(stored, source, partition_by), source, key)
-    merged = materialize(merged, "upsert-merged")
-    (merged.drop(STATE).hint("rebalance", *partition_by).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+        _write_partitions(source, path, partition_by)
+        return upsert_counters(source.withColumn(STATE, F.lit("inserted")))
+    merged = materialize(upsert(_touched(stored, source, partition_by), source, key), "upsert-merged")
+    _write_partitions(merged.drop(STATE), path, partition_by)
     return upsert_counters(merged)
 
 
+def _write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replaces the partitions ``df`` has rows for; large ones are split over tasks, small ones share one."""
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
 def replace_where(target: DataFrame, source: DataFrame, condition: Column) -> DataFrame:
     """Target without the rows that meet the condition, plus the source. A null condition keeps the row."""
     kept = target.filter(~F.coalesce(condition, F.lit(False)))

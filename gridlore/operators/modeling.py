@@ -14,7 +14,7 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlore.operators.profiles import MODEL_FEATURES
+from gridlore.operators.profiles import MODEL_FEATURES, PROFILE_KEY
 from gridlore.operators.sampling import train_test_split
 from gridlore.schema import require_columns
 from gridlore.session import materialize
@@ -27,23 +27,25 @@ TARGET = "intensidad_co2"
 ROWS_PER_TASK = 50_000
 
 
-def _sized(df: DataFrame, name: str) -> DataFrame:
-    """Written once for the many passes of a fit; a small input gets few tasks."""
-    df = materialize(df, name)
-    wanted = max(1, df.count() // ROWS_PER_TASK)
-    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
+def _sized(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """Written once for the many passes of a fit, sorted by key: the same rows always reach the same tasks, so the
+    seeded models do not depend on how the input was partitioned. A small input gets few tasks."""
+    stored = materialize(df, name)
+    tasks = max(1, stored.count() // ROWS_PER_TASK)
+    return materialize(stored.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys), f"{name}-sorted")
 
 
 def complete_rows(df: DataFrame, features: Sequence[str] = tuple(MODEL_FEATURES)) -> DataFrame:
     return require_columns(df, features, "model input").na.drop(subset=list(features))
 
 
-def prepare_vectors(df: DataFrame, features: Sequence[str] = tuple(MODEL_FEATURES)) -> DataFrame:
+def prepare_vectors(df: DataFrame, features: Sequence[str] = tuple(MODEL_FEATURES),
+                    keys: Sequence[str] = tuple(PROFILE_KEY)) -> DataFrame:
     """Adds ``features`` and ``scaledFeatures`` (mean 0, sample deviation 1), ready for repeated passes."""
     rows = _sized(VectorAssembler(inputCols=list(features), outputCol="features").transform(complete_rows(df, features)),
-                  "vectors")
+                  "vectors", keys)
     scaler = StandardScaler(inputCol="features", outputCol="scaledFeatures", withMean=True, withStd=True)
-    return _sized(scaler.fit(rows).transform(rows), "scaled")
+    return scaler.fit(rows).transform(rows)
 
 
 def fit_pca(scaled: DataFrame, k: int = 2) -> PCAModel:
@@ -121,7 +123,7 @@ def fit_classifier(name: str, train: DataFrame, test: DataFrame) -> tuple[Model,
 
 def split_labelled(labelled: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     train, test = train_test_split(labelled, keys, 0.7, SEED)
-    return _sized(train, "train"), _sized(test, "test")
+    return _sized(train, "train", keys), _sized(test, "test", keys)
 
 
 def leaderboard(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -139,13 +141,13 @@ def fit_regression(df: DataFrame, keys: Sequence[str], features: Sequence[str] =
     """
     vectors = VectorAssembler(inputCols=list(features), outputCol="features_regresion").transform(
         df.drop("features_regresion").na.drop(subset=[*features, target]))
-    vectors = _sized(vectors.withColumn("label_intensidad", F.col(target).cast("double")), "regression")
+    vectors = _sized(vectors.withColumn("label_intensidad", F.col(target).cast("double")), "regression", keys)
     train, test = train_test_split(vectors, keys, 0.7, SEED)
     scaler = StandardScaler(inputCol="features_regresion", outputCol="scaledFeatures_regresion",
                             withMean=True, withStd=True).fit(vectors if fit_on == "all" else train)
     model = LinearRegression(featuresCol="scaledFeatures_regresion", labelCol="label_intensidad",
                              predictionCol="prediccion_intensidad", maxIter=50, regParam=reg_param,
-                             ).fit(_sized(scaler.transform(train), "regression-train"))
+                             ).fit(scaler.transform(train))
     predicted = model.transform(scaler.transform(test))
     metrics = {}
     for name in ("r2", "rmse"):

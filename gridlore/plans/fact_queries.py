@@ -15,11 +15,12 @@ from gridlore.sources.loaders import load_emissions, load_generation
 _ALL = ", ".join(FACT_COLUMNS)
 
 
-@query("canonical_projection", """
-SELECT NULL AS fuente_sitio, 'customers' AS dataset, NULL AS url_origen, NULL AS grupo, NULL AS integrante, NULL AS tema,
-       NULL AS fecha_extraccion, NULL AS pais, CAST(c_nationkey AS VARCHAR) AS region, NULL AS periodo, NULL AS indicador,
-       NULL AS categoria_energia, NULL AS tecnologia, c_name AS actor, CAST(c_custkey AS VARCHAR) AS item,
-       c_acctbal AS valor, NULL AS unidad, NULL AS scraper_origen FROM customer""")
+_PROJECTED = {"dataset": "'customers'", "region": "CAST(c_nationkey AS VARCHAR)", "actor": "c_name",
+              "item": "CAST(c_custkey AS VARCHAR)", "valor": "c_acctbal", "periodo": "CAST(NULL AS INTEGER)"}
+
+
+@query("canonical_projection", "SELECT " + ", ".join(
+    f"{_PROJECTED.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in FACT_COLUMNS) + " FROM customer")
 def canonical_projection(spark, folder):
     return project(table(spark, folder, "customer").select(
         F.lit("customers").alias("dataset"), F.col("c_nationkey").alias("region"), F.col("c_name").alias("actor"),

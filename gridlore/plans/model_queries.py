@@ -10,7 +10,7 @@ from gridlore.operators import modeling, stats
 from gridlore.operators.dbscan import dbscan
 from gridlore.operators.profiles import MODEL_FEATURES, PROFILE_KEY
 from gridlore.plans import inputs
-from gridlore.plans.inputs import table
+from gridlore.plans.inputs import PROFILE_SQL, table
 from gridlore.plans.registry import query
 from gridlore.session import materialize, new_path
 
@@ -73,7 +73,7 @@ def cluster_profile(spark, folder):
     return modeling.cluster_profile(_clustered(spark, folder))
 
 
-@query("kmeans_persist_roundtrip")
+@query("kmeans_persist_roundtrip", f"WITH {PROFILE_SQL} SELECT count(*) AS filas, CAST(0 AS BIGINT) AS distintas FROM profile")
 def kmeans_persist_roundtrip(spark, folder):
     """Counts rows whose cluster the reloaded model gives differently: always 0."""
     scaled = _scaled(spark, folder)

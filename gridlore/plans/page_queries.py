@@ -15,7 +15,7 @@ FIELDS = {"enlace": r'href="([^"]*)"', "texto": r">([^<]*)</a>"}
 _CARDS_SQL = r"""
 blocks AS (SELECT page_id, url, regexp_extract_all(html, '<li>(<a\s.*?</a>)</li>', 1) AS b FROM pages),
 cards AS (
-  SELECT page_id, i - 1 AS posicion, regexp_extract(card, 'href="([^"]*)"', 1) AS enlace,
+  SELECT page_id, CAST(i - 1 AS INTEGER) AS posicion, regexp_extract(card, 'href="([^"]*)"', 1) AS enlace,
          regexp_replace(regexp_extract(card, '>([^<]*)</a>', 1), '^\s+|\s+$', '', 'g') AS texto
   FROM (SELECT page_id, unnest(b) AS card, generate_subscripts(b, 1) AS i FROM blocks) t)"""
 
@@ -30,7 +30,7 @@ def page_title(spark, folder):
 
 
 @query("page_element_texts", r"""
-SELECT page_id, i - 1 AS posicion, regexp_replace(t, '^\s+|\s+$', '', 'g') AS texto
+SELECT page_id, CAST(i - 1 AS INTEGER) AS posicion, regexp_replace(t, '^\s+|\s+$', '', 'g') AS texto
 FROM (SELECT page_id, unnest(x) AS t, generate_subscripts(x, 1) AS i
       FROM (SELECT page_id, regexp_extract_all(html, '<p(?:\s[^>]*)?>([^<]*)</p>', 1) AS x FROM pages) u) v""")
 def page_element_texts(spark, folder):
@@ -71,7 +71,7 @@ def page_cards_rejects(spark, folder):
 
 
 @query("page_links_resolved", r"""
-SELECT page_id, i - 1 AS posicion, href,
+SELECT page_id, CAST(i - 1 AS INTEGER) AS posicion, href,
        CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
             WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || href
             ELSE regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') || href END AS destino

@@ -138,8 +138,8 @@ def snake_values(spark, folder):
 
 
 @query("year_from_date", """
-SELECT o_orderkey, year(try_cast(CASE WHEN o_orderstatus = 'P' THEN 'pendiente' ELSE CAST(o_orderdate AS VARCHAR) END
-                                 AS TIMESTAMP)) AS periodo FROM orders""")
+SELECT o_orderkey, CAST(year(try_cast(CASE WHEN o_orderstatus = 'P' THEN 'pendiente'
+  ELSE CAST(o_orderdate AS VARCHAR) END AS TIMESTAMP)) AS INTEGER) AS periodo FROM orders""")
 def year_from_date(spark, folder):
     raw = F.when(F.col("o_orderstatus") == "P", "pendiente").otherwise(F.col("o_orderdate").cast("string"))
     return table(spark, folder, "orders").select("o_orderkey", text.year_of(raw).alias("periodo"))

@@ -243,7 +243,7 @@ latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY registro_id
 late AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY registro_id
              ORDER BY fecha_extraccion DESC, valor DESC) AS rn FROM keyed WHERE fecha_extraccion >= '2000-01-01') t WHERE rn = 1)
 SELECT l.dataset, l.periodo, count(*) AS registros, round(sum(l.valor), 2) AS total,
-       (SELECT count(*) FROM late) AS matched, 0 AS inserted, 0 AS modified
+       (SELECT count(*) FROM late) AS matched, CAST(0 AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS modified
 FROM latest l GROUP BY ALL""")
 def upsert_table_reload(spark, folder):
     """Loads all facts into a stored table, then loads those extracted since 2000 again: nothing changes."""
@@ -275,6 +275,14 @@ def replace_where(spark, folder):
     return merge.replace_where(*_replacement(spark, folder))
 
 
+@query("replace_keys", """
+SELECT o_orderkey, o_orderstatus AS grupo, nullif(o_orderpriority, '5-LOW') AS categoria, o_totalprice AS valor FROM orders
+WHERE o_orderstatus <> 'F' UNION ALL SELECT c_custkey, 'F', '1-URGENT', c_acctbal FROM customer""")
+def replace_keys(spark, folder):
+    stored, fresh, _ = _replacement(spark, folder)
+    return merge.replace_keys(stored, fresh, ["grupo"]).select("o_orderkey", "grupo", "categoria", "valor")
+
+
 @query("replace_counters", """
 SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') AS deleted,
        (SELECT count(*) FROM customer) AS inserted""")
