@@ -69,6 +69,10 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
 
+def _prefixed_keys(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    return df.withColumnsRenamed({k: prefix + k for k in keys})
+
+
 def _cell_links(cores: DataFrame, cells: DataFrame, eps: float, side: float) -> DataFrame:
     """Pairs ``u, v`` of core cells (by node) that hold core points within eps of each other.
 
@@ -80,7 +84,7 @@ def _cell_links(cores: DataFrame, cells: DataFrame, eps: float, side: float) ->
     found = near.join(_prefixed(cells, "b_").withColumnsRenamed({"b_cx": "cx", "b_cy": "cy"}), CELL)
     pairs = materialize(_judge(found.drop("ox", "oy", "cx", "cy"), eps).filter("linked is not false"), "dbscan-pairs")
     points = materialize(cores.select("node", "x", "y").distinct(), "dbscan-points")
-    hot = hot_keys(cells, ["node"], "n")
+    hot = hot_keys(cells, ["node"], "n", points.count())
     keys = ["node"]
     links = pairs.filter("linked").select(F.col("a_node").alias("u"), F.col("b_node").alias("v"))
     depth = 0
@@ -89,9 +93,9 @@ def _cell_links(cores: DataFrame, cells: DataFrame, eps: float, side: float) ->
         small = F.col("a_n") * F.col("b_n") <= DIRECT_PAIRS
         a_keys, b_keys = [f"a_{k}" for k in keys], [f"b_{k}" for k in keys]
         half = split_join(_prefixed(points, "a_"), open_pairs.filter(small).select(*a_keys, *b_keys), a_keys,
-                          hot.withColumnsRenamed({k: f"a_{k}" for k in keys}), ["a_x", "a_y"])
+                          hot and _prefixed_keys(hot, keys, "a_"), ["a_x", "a_y"])
         direct = split_join(_prefixed(points, "b_"), half, b_keys,
-                            hot.withColumnsRenamed({k: f"b_{k}" for k in keys}), ["b_x", "b_y"])
+                            hot and _prefixed_keys(hot, keys, "b_"), ["b_x", "b_y"])
         direct = direct.filter(_close(F.col("a_x"), F.col("a_y"), F.col("b_x"), F.col("b_y"), eps))
         links = materialize(
             links.unionByName(direct.select(F.col("a_node").alias("u"), F.col("b_node").alias("v"))).distinct(),
@@ -111,7 +115,7 @@ def _cell_links(cores: DataFrame, cells: DataFrame, eps: float, side: float) ->
             sub[0]: F.floor(F.col("x") / unit), sub[1]: F.floor(F.col("y") / unit)}), "dbscan-points")
         finer = [*keys, *sub]
         boxes = materialize(_boxes(points, finer), "dbscan-boxes")
-        hot = hot_keys(boxes, finer, "n")
+        hot = hot_keys(boxes, finer, "n", points.count())
         pairs = (large.join(_prefixed(boxes, "a_"), a_keys).join(_prefixed(boxes, "b_"), b_keys))
         pairs = materialize(_judge(pairs, eps).filter("linked is not false"), "dbscan-pairs")
         keys = finer
@@ -135,7 +139,7 @@ def dbscan(df: DataFrame, row_id: str, x: str, y: str, eps: float = 0.5, min_sam
         "cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)}), "dbscan-points")
 
     counts = materialize(points.groupBy(*CELL).agg(F.count("*").alias("n")), "dbscan-cells")
-    hot = materialize(hot_keys(counts, CELL, "n"), "dbscan-hot")
+    hot = hot_keys(counts, CELL, "n", points.count())
     tagged = split_join(points, counts, CELL, hot, ["id"])
     dense, sparse = tagged.filter(F.col("n") >= min_samples), tagged.filter(F.col("n") < min_samples)
 

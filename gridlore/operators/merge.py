@@ -75,16 +75,17 @@ def _touched(df: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFr
 
 
 def upsert_table(path: str, source: DataFrame, key: str, partition_by: Sequence[str],
-                 schema: StructType | None = None) -> DataFrame:
+                 newest: Sequence[str] = (), schema: StructType | None = None) -> DataFrame:
     """Upserts into a partitioned Parquet table and returns the counters.
 
+    Of source rows sharing a key the one with the greatest ``newest`` columns, then the greatest rest, is taken.
     ``partition_by`` must be part of what the key is made of, so a key never changes partition. Only partitions
     the source touches are read and replaced. The merge is written aside first: the table is never read and
     written in one job, and repeating a failed run gives the same table. ``schema`` is the table's, if it has
     columns the source lacks.
     """
     spark = source.sparkSession
-    source = materialize(source, "upsert-source")
+    source = materialize(latest_by(source, [key], newest), "upsert-source")
     try:
         stored = spark.read.schema(schema or source.schema).parquet(path)
     except AnalysisException as error:
@@ -118,8 +119,8 @@ def replace_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
 
 def replace_counters(target: DataFrame, source: DataFrame, condition: Column) -> DataFrame:
-    deleted = target.agg(F.count_if(condition).alias("deleted"))
-    return deleted.crossJoin(F.broadcast(source.agg(F.count("*").alias("inserted"))))
+    inserted = source.agg(F.count("*").alias("inserted")).scalar()
+    return target.agg(F.count_if(condition).alias("deleted")).withColumn("inserted", inserted)
 
 
 def convert_or_quarantine(df: DataFrame, column: str, converted: Column) -> tuple[DataFrame, DataFrame]:

@@ -25,10 +25,8 @@ def common_year(df: DataFrame, year: int | None = None) -> DataFrame:
     covered = pairs.groupBy("periodo").agg(F.count("*").alias("_n"))
     if year is not None:
         covered = covered.filter(F.col("periodo") == year)
-    total = pairs.agg(F.countDistinct("dataset").alias("_total"))
-    # the broadcast side is a single row
-    return (covered.crossJoin(F.broadcast(total)).filter(F.col("_n") == F.col("_total"))
-            .agg(F.max("periodo").alias("periodo")))
+    datasets = pairs.agg(F.countDistinct("dataset")).scalar()
+    return covered.filter(F.col("_n") == datasets).agg(F.max("periodo").alias("periodo"))
 
 
 def missing_datasets(df: DataFrame, year: int) -> DataFrame:
@@ -38,8 +36,8 @@ def missing_datasets(df: DataFrame, year: int) -> DataFrame:
 
 
 def keep_common_year(df: DataFrame, year: int | None = None) -> DataFrame:
-    """Rows of the common period, in one lazy plan; rows without a period vanish."""
-    return df.join(F.broadcast(common_year(df, year)), "periodo", "left_semi").select(*df.columns)
+    """Rows of the common period, in one lazy plan; rows without a period vanish. Prunes partitions by period."""
+    return df.filter(F.col("periodo") == common_year(df, year).scalar())
 
 
 def resolve_common_year(df: DataFrame, year: int | None = None) -> int:

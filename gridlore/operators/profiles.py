@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlore.functions.rows import one_row
 from gridlore.operators.ranks import exact_quantiles_wide
 
 # fixed values: names of the compared measures and of the derived features
@@ -50,10 +51,9 @@ def derive_features(aligned: DataFrame) -> DataFrame:
 
 
 def add_zscore(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Global z-score with the sample deviation; 0 where there is none. Stays lazy: the statistics are one row."""
-    stats = df.agg(F.avg(column).alias("_mean"), F.stddev(column).alias("_sd"))
-    z = F.when(F.col("_sd") > 0, (F.col(column) - F.col("_mean")) / F.col("_sd")).otherwise(0.0)
-    return df.crossJoin(F.broadcast(stats)).withColumn(out, z).drop("_mean", "_sd")
+    """Global z-score with the sample deviation; 0 where there is none. Stays lazy."""
+    stats = one_row(df.agg(F.avg(column).alias("mean"), F.stddev(column).alias("sd")))
+    return df.withColumn(out, F.when(stats["sd"] > 0, (F.col(column) - stats["mean"]) / stats["sd"]).otherwise(0.0))
 
 
 def profile_features(facts: DataFrame) -> DataFrame:
@@ -74,7 +74,6 @@ def iqr_bounds(df: DataFrame, column: str, relative_error: float = 0.0) -> DataF
 
 def flag_outliers(df: DataFrame, column: str, out: str, relative_error: float = 0.0) -> DataFrame:
     """Marks rows strictly outside the whiskers."""
-    bounds = iqr_bounds(df, column, relative_error).select("lower", "upper")
-    outside = (F.col(column) < F.col("lower")) | (F.col(column) > F.col("upper"))
-    return (df.crossJoin(F.broadcast(bounds)).withColumn(out, F.coalesce(outside, F.lit(False)))
-            .drop("lower", "upper"))
+    bounds = one_row(iqr_bounds(df, column, relative_error))
+    outside = (F.col(column) < bounds["lower"]) | (F.col(column) > bounds["upper"])
+    return df.withColumn(out, F.coalesce(outside, F.lit(False)))

@@ -18,12 +18,21 @@ from gridlore.session import materialize
 
 ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 10_000
+PROBES_PER_BUCKET = 100
+MIN_PROBES = 100_000
 
 
 def _cut_points(df: DataFrame, value: str) -> list[float]:
-    """Bucket borders: at most MAX_BUCKETS numbers reach the driver."""
-    n = min(MAX_BUCKETS, max(8, df.count() // ROWS_PER_BUCKET))
-    cuts = df.approxQuantile(value, [i / n for i in range(1, n)], 0.25 / n)
+    """Bucket borders: at most MAX_BUCKETS numbers reach the driver.
+
+    Borders need not be exact, so a probe of a long frame is enough to place them, as for a range partitioning; all
+    rows are then counted and ranked in the buckets.
+    """
+    rows = df.count()
+    n = min(MAX_BUCKETS, max(8, rows // ROWS_PER_BUCKET))
+    probes = max(MIN_PROBES, n * PROBES_PER_BUCKET)
+    probe = df.sample(probes / rows, seed=1) if rows > probes else df
+    cuts = probe.approxQuantile(value, [i / n for i in range(1, n)], 0.25 / n)
     finite = sorted({c for c in cuts if abs(c) != float("inf")}) or [0.0]
     return [float("-inf"), *finite, float("inf")]
 
@@ -68,7 +77,8 @@ def percent_rank(df: DataFrame, value: str, out: str, by: Sequence[str] = ()) ->
     """Adds SQL ``percent_rank`` over ``value``; a value shared by very many rows is split over tasks."""
     by = list(by)
     ranks = materialize(value_ranks(df, value, by), "value-ranks")
-    hot = hot_keys(ranks.select(*by, value, "n").na.drop(), [*by, value], "n")
+    rows = ranks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = hot_keys(ranks.select(*by, value, "n").na.drop(), [*by, value], "n", rows)
     pr = F.when(F.col("total") > 1, F.col("below") / (F.col("total") - 1)).otherwise(F.lit(0.0))
     lookup = ranks.select(*by, value, pr.alias(out))
     no_null = [F.col(c).isNotNull() for c in [*by, value]]

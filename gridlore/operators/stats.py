@@ -8,6 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlore.functions.rows import one_row
 from gridlore.operators.ranks import exact_quantiles_wide, percent_rank
 
 
@@ -142,7 +143,8 @@ def scatter_loglog(df: DataFrame, x: str, y: str, keep: Sequence[str]) -> DataFr
 
 def standard_scale(df: DataFrame, columns: Sequence[str], keep: Sequence[str], digits: int = 6) -> DataFrame:
     """Columns to mean 0 and sample deviation 1; a constant column becomes 0."""
-    stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in columns], *[F.stddev(c).alias(f"_s_{c}") for c in columns])
-    scaled = [F.round(F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}"))
+    stats = one_row(df.agg(*[F.avg(c).alias(f"mean_{c}") for c in columns],
+                           *[F.stddev(c).alias(f"sd_{c}") for c in columns]))
+    scaled = [F.round(F.when(stats[f"sd_{c}"] > 0, (F.col(c) - stats[f"mean_{c}"]) / stats[f"sd_{c}"])
                       .otherwise(0.0), digits).alias(f"{c}_z") for c in columns]
-    return df.crossJoin(F.broadcast(stats)).select(*keep, *scaled)
+    return df.select(*keep, *scaled)

@@ -7,25 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlore.functions.text import KEY_FIELDS, record_key
+from gridlore.functions.text import record_key
 from gridlore.operators import modeling, periods, profiles, stats
 from gridlore.operators.cleaning import analysis_facts, clean_facts
 from gridlore.operators.dbscan import dbscan
-from gridlore.operators.merge import latest_by, upsert_table
+from gridlore.operators.merge import upsert_table
 from gridlore.schema import FACT_COLUMNS
 from gridlore.session import materialize
 from gridlore.sources import sinks
 from gridlore.sources.registry import SourceRegistry
 
-# fixed values: density settings, and how the stored table is partitioned
+# fixed values: density settings
 EPS, MIN_SAMPLES = 0.5, 5
+# how the stored table is partitioned (part of the record key), and which row wins among those sharing a key
 STORE_PARTITIONS = ["dataset", "periodo"]
+NEWEST = ["fecha_extraccion", "valor"]
 
 
 def keyed(facts: DataFrame) -> DataFrame:
-    """Facts under their record key; of rows sharing a key the latest, then the greatest, stays."""
-    rows = facts.select(record_key().alias("registro_id"), *[c for c in FACT_COLUMNS if c not in KEY_FIELDS], *KEY_FIELDS)
-    return latest_by(rows, ["registro_id"], ["fecha_extraccion", "valor"])
+    """Facts with their record key, which leaves out the value: several rows can share one."""
+    return facts.select(record_key().alias("registro_id"), *FACT_COLUMNS)
 
 
 def integrate(spark: SparkSession, registry: SourceRegistry, folder: str, store: str, export: str | None = None,
@@ -41,7 +42,7 @@ def integrate(spark: SparkSession, registry: SourceRegistry, folder: str, store:
     if export:
         sinks.export_csv(clean, f"{export}/csv")
         sinks.export_json(clean, f"{export}/json")
-    return clean, upsert_table(store, keyed(clean), "registro_id", STORE_PARTITIONS)
+    return clean, upsert_table(store, keyed(clean), "registro_id", STORE_PARTITIONS, NEWEST)
 
 
 def explore(facts: DataFrame, out: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridlore.functions.rows import one_row
 from gridlore.functions.text import first_token
 from gridlore.operators import profiles, ranks, sampling, stats
 from gridlore.operators.cleaning import normalize
@@ -29,6 +30,12 @@ def coll_count(spark, folder):
     return table(spark, folder, "events").agg(F.count("*").alias("documentos"))
 
 
+@query("coll_preview", "SELECT event_id, user_id, event_type, value FROM events ORDER BY event_id LIMIT 10")
+def coll_preview(spark, folder):
+    """First documents without their free-form field."""
+    return table(spark, folder, "events").drop("props", "ts").orderBy("event_id").limit(10)
+
+
 @query("group_counts", f"""
 WITH {FACTS_SQL} SELECT integrante, dataset, count(*) AS registros FROM facts GROUP BY ALL""")
 def group_counts(spark, folder):
@@ -156,11 +163,10 @@ WITH {_IQR_SQL} SELECT intensidad_co2 < lower OR intensidad_co2 > upper AS es_ou
        round(min(lower), 9) AS inferior, round(max(upper), 9) AS superior FROM profile, bounds GROUP BY 1""")
 def iqr_counts(spark, folder):
     stored = inputs.stored_profile(spark, folder)
-    bounds = profiles.iqr_bounds(stored, "intensidad_co2").select(
-        F.round("lower", 9).alias("inferior"), F.round("upper", 9).alias("superior"))
+    bounds = one_row(profiles.iqr_bounds(stored, "intensidad_co2"))
     counted = (profiles.flag_outliers(stored, "intensidad_co2", "es_outlier_intensidad")
                .groupBy("es_outlier_intensidad").agg(F.count("*").alias("registros")))
-    return counted.crossJoin(F.broadcast(bounds))
+    return counted.withColumns({"inferior": F.round(bounds["lower"], 9), "superior": F.round(bounds["upper"], 9)})
 
 
 @query("zscore", """

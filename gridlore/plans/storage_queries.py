@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlore.functions.numbers import currency_to_double
+from gridlore.functions.rows import one_row
 from gridlore.functions.text import KEY_FIELDS
 from gridlore.operators import merge
 from gridlore.operators.reshape import measures_to_rows
 from gridlore.plans import inputs
 from gridlore.plans.fact_queries import GENERATION_SQL, SOURCE_SQL, source_rows
 from gridlore.plans.inputs import CLEAN_SQL, FACTS_SQL, NORMAL_SQL, table
-from gridlore.plans.jobs import integrate, keyed
+from gridlore.plans.jobs import NEWEST, STORE_PARTITIONS, integrate, keyed
 from gridlore.plans.registry import query
 from gridlore.session import materialize, new_path
 from gridlore.sources import files, sinks
@@ -249,12 +250,13 @@ def upsert_table_reload(spark, folder):
     """Loads all facts into a stored table, then loads those extracted since 2000 again: nothing changes."""
     clean = materialize(inputs.clean(spark, folder), "reload-facts")
     path = new_path(spark, "keyed-table")
-    merge.upsert_table(path, keyed(clean), "registro_id", ["dataset", "periodo"])
+    merge.upsert_table(path, keyed(clean), "registro_id", STORE_PARTITIONS, NEWEST)
     again = keyed(clean.filter(F.col("fecha_extraccion") >= "2000-01-01"))
-    counters = merge.upsert_table(path, again, "registro_id", ["dataset", "periodo"])
+    counters = merge.upsert_table(path, again, "registro_id", STORE_PARTITIONS, NEWEST)
     report = spark.read.parquet(path).groupBy("dataset", "periodo").agg(
         F.count("*").alias("registros"), F.round(F.sum("valor"), 2).alias("total"))
-    return report.crossJoin(F.broadcast(counters))
+    counts = one_row(counters)
+    return report.withColumns({c: counts[c] for c in counters.columns})
 
 
 def _replacement(spark, folder):
@@ -306,7 +308,8 @@ def append_quarantine(spark, folder):
     held = spark.read.parquet(bad).select(F.lit("cuarentena").alias("destino"), F.lit(None).cast("double").alias("valor"))
     report = loaded.unionByName(held).groupBy("destino").agg(
         F.count("*").alias("registros"), F.round(F.sum("valor"), 2).alias("total"))
-    return report.crossJoin(F.broadcast(tallies))
+    counts = one_row(tallies)
+    return report.withColumns({c: counts[c] for c in tallies.columns})
 
 
 @query("stream_upsert_events", """

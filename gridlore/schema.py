@@ -19,10 +19,6 @@ _TYPED = {"periodo": T.IntegerType(), "valor": T.DoubleType()}
 FACT_SCHEMA = T.StructType([T.StructField(c, _TYPED.get(c, T.StringType())) for c in FACT_COLUMNS])
 TEXT_COLUMNS = [f.name for f in FACT_SCHEMA if isinstance(f.dataType, T.StringType)]
 
-# fixed values: defaults of the labels a source stamps on its rows
-DEFAULT_GROUP = "energia-y-sustentabilidad-1"
-DEFAULT_THEME = "Impacto ambiental de la energia"
-
 
 class SchemaError(ValueError):
     """A frame does not meet the columns an operator needs."""

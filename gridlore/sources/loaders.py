@@ -23,6 +23,12 @@ PROJECT_MEASURES = {"potencia_neta_mw": ("potencia_neta", "MW"),
 FIRST_YEAR = 2020
 
 
+def source_labels(member: str, captured: str, group: str, theme: str, site: str, address: str, country: str) -> dict[str, str]:
+    """What a source stamps on all its rows; the capture time is given, so a repeated run writes the same rows."""
+    return {"integrante": member, "fecha_extraccion": captured, "grupo": group, "tema": theme, "fuente_sitio": site,
+            "url_origen": address, "pais": country}
+
+
 def _numeric(df: DataFrame) -> DataFrame:
     types = dict(df.dtypes)
     if types["valor"] != "double":

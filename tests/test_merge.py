@@ -31,7 +31,7 @@ def test_upsert_table_twice(spark, rows):
     before = rows(spark.read.parquet(path).select("id", "p", "v"))
     assert tuple(merge.upsert_table(path, source, "id", ["p"]).first()) == (0, 0, 3)
     assert rows(spark.read.parquet(path).select("id", "p", "v")) == before
-    change = table(spark, [("b", "y", 5.0), ("e", "y", 6.0)])
+    change = table(spark, [("b", "y", 5.0), ("b", "y", 4.0), ("e", "y", 6.0)])
     assert tuple(merge.upsert_table(path, change, "id", ["p"]).first()) == (1, 1, 1)
     assert rows(spark.read.parquet(path).select("id", "v")) == [("a", 1.0), ("b", 5.0), ("c", 3.0), ("e", 6.0)]
 

@@ -12,6 +12,8 @@ from gridlore.operators import ranks, sampling, skew, stats
 def many_buckets(monkeypatch):
     """Small buckets and a low bar for hot keys, so that small data takes the paths of large data."""
     monkeypatch.setattr(ranks, "ROWS_PER_BUCKET", 20)
+    monkeypatch.setattr(ranks, "MIN_PROBES", 200)
+    monkeypatch.setattr(ranks, "PROBES_PER_BUCKET", 2)
     monkeypatch.setattr(skew, "HOT_ROWS", 50)
     monkeypatch.setattr(skew, "FANOUT", 4)
 
@@ -70,7 +72,7 @@ def test_split_join_is_a_plain_join(spark, many_buckets, rows):
     many = spark.range(1000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("x"))
     few = spark.range(0, 1000, 3).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y")).unionByName(
         spark.createDataFrame([(1, 5)], "k bigint, y bigint"))
-    hot = skew.hot_keys(many.groupBy("k").agg(F.count("*").alias("n")), ["k"], "n")
+    hot = skew.hot_keys(many.groupBy("k").agg(F.count("*").alias("n")), ["k"], "n", 1000)
     assert [r["k"] for r in hot.collect()] == [1]
     for how in ("inner", "left", "left_semi", "left_anti"):
         assert rows(skew.split_join(many, few, ["k"], hot, ["x"], how)) == rows(many.join(few, "k", how))

@@ -31,6 +31,17 @@ def test_banner_csv(spark, rows):
             for r in out.collect()] == [(2021, "AK", 10.5, "Fosil", "AK - Coal", "annual_generation_state", "m")]
 
 
+def test_labels_and_text_columns(spark):
+    df = spark.createDataFrame([(2021, "AK", "p", "Wind", 2.0)],
+                               "year int, state string, producer_type string, energy_source string, co2_metric_tons double")
+    labels = loaders.source_labels("m", "2024-01-01 00:00:00", "g", "t", "s", "u", "Chile")
+    row = loaders.load_emissions(df, labels).first()
+    assert (row["integrante"], row["pais"], row["fuente_sitio"], row["scraper_origen"]) == ("m", "Chile", "s", None)
+    path = new_path(spark, "as-text")
+    sinks.export_json(loaders.load_emissions(df, labels), path, as_text=["periodo"])
+    assert spark.read.json(path).first()["periodo"] == "2021"
+
+
 def test_emissions_keep_zeros(spark):
     df = spark.createDataFrame([(2021, "AK", "p", "Coal", 0.0), (2021, "AK", "p", "Coal", -1.0), (2021, "AK", "p", "All Sources", 5.0)],
                                "year int, state string, producer_type string, energy_source string, co2_metric_tons double")
