@@ -19,8 +19,10 @@ from gridlore.operators.skew import hot_keys, split_join
 from gridlore.session import materialize
 
 CELL = ["cx", "cy"]
-# cells whose points can be within eps: two steps each way, the four far corners excepted
-REACH = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if abs(i) + abs(j) < 4]
+# cells are a hair smaller than eps / sqrt(2), so that rounding cannot put a cell's points further apart than eps
+SHRINK = 1 - 1e-6
+# cells whose points can be within eps: two steps each way; by that hair the far corners are among them
+REACH = [(i, j) for i in range(-2, 3) for j in range(-2, 3)]
 # point pairs formed directly for one pair of boxes; larger ones are cut into smaller boxes first
 DIRECT_PAIRS = 1024
 SUBDIVIDE = 4
@@ -132,7 +134,7 @@ def dbscan(df: DataFrame, row_id: str, x: str, y: str, eps: float = 0.5, min_sam
 
     A border point goes to the first cluster that reaches it. ``row_id`` is a unique whole number.
     """
-    side = eps / sqrt(2.0) * (1 - 1e-6)
+    side = eps / sqrt(2.0) * SHRINK
     points = df.select(F.col(row_id).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     points = points.withColumns({"x": _checked("x"), "y": _checked("y")})
     points = materialize(points.withColumns({

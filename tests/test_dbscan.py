@@ -82,6 +82,16 @@ def test_edge_cases(spark):
     assert got == brute_force(between, 0.46, 5) and got[50] == 0
 
 
+def test_neighbours_in_far_corner_cells(spark):
+    side = 0.5 / 2 ** 0.5 * module.SHRINK
+    corner = {1: (side - 1e-9, side - 1e-9), 2: (2 * side + 1e-9, 2 * side + 1e-9), 3: (9.0, 9.0)}
+    assert brute_force(corner, 0.5, 2) == {1: 0, 2: 0, 3: -1}
+    assert run(spark, corner, 0.5, 2) == {1: 0, 2: 0, 3: -1}
+    # on a lattice many distances are exactly eps
+    lattice = {10 * i + j: (i * 0.3, j * 0.4) for i in range(6) for j in range(6) if (i * j) % 4 != 3}
+    assert run(spark, lattice, 0.5, 4) == brute_force(lattice, 0.5, 4)
+
+
 def test_bad_coordinates_are_an_error(spark):
     with pytest.raises(Exception, match="finite"):
         run(spark, {1: (float("nan"), 0.0)}, 0.5, 2)
