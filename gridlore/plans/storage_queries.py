@@ -320,16 +320,16 @@ WITH sent AS (
 SELECT event_id, CAST(ts AS VARCHAR) AS ts, value FROM (
   SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC) AS rn FROM sent) t WHERE rn = 1""")
 def stream_upsert_events(spark, folder):
-    """Events arrive in several files, errors again a day later with a new value, clicks late with an old one."""
+    """Events arrive with late copies of clicks; in a second run errors arrive again, a day newer with a new value."""
     events = table(spark, folder, "events").select("event_id", "ts", "value")
     kind = table(spark, folder, "events")
     newer = kind.filter("event_type = 'error'").selectExpr("event_id", "ts + INTERVAL 1 DAY AS ts", "value * 2 AS value")
     older = kind.filter("event_type = 'click'").selectExpr("event_id", "ts - INTERVAL 1 DAY AS ts", "-value AS value")
-    landing = new_path(spark, "landing")
-    for part in (newer, events, older):
-        part.write.mode("append").parquet(landing)
-    stored = new_path(spark, "stream-table")
-    stream = incremental.read_files(spark, landing, events.schema, files_per_batch=2)
-    incremental.run_upsert(stream, stored, ["event_id"], ["ts"])
+    landing, stored, state = (new_path(spark, name) for name in ("landing", "stream-table", "stream-state"))
+    for arrival in ([events, older], [newer]):
+        for part in arrival:
+            part.write.mode("append").parquet(landing)
+        stream = incremental.read_files(spark, landing, events.schema)
+        incremental.run_upsert(stream, stored, ["event_id"], ["ts"], state)
     now = incremental.current_rows(spark, stored, events.schema, ["event_id"], ["ts"])
     return now.select("event_id", F.col("ts").cast("string").alias("ts"), "value")
