@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query, module; the query is a function of that name.
 _OPERATORS = {
     "op2_quality_rules": "quality_rules",
+    "op4_source_mixing": "mixing",
+    "op5_best_fit_packing": "packing",
     "op6_url_filter": "url_filter",
     "op8_exact_dedup": "exact_dedup",
 }

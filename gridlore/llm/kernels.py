@@ -67,7 +67,7 @@ def row_blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[
         start = end
 
 
-def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     power, inverse = _powers(1 << max(20, int(len(data)).bit_length()))
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=total[1:])
@@ -98,7 +98,7 @@ def words(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = WHITE) -> tu
         first[cuts] = solid[1:-1][cuts]
         last[cuts - 1] = solid[1:-1][cuts - 1]
         starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-        found.append(_hash_words(piece, starts, ends))
+        found.append(hash_runs(piece, starts, ends))
         starts_at.append(starts + begin)
         begin = end
     if not found:
