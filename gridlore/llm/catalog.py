@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query, module; the query is a function of that name.
 _OPERATORS = {
+    "op1_ngram_jaccard_join": "jaccard_join",
     "op2_quality_rules": "quality_rules",
     "op4_source_mixing": "mixing",
     "op5_best_fit_packing": "packing",
