@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlore.llm.common import salt_of, table, text_of, without_white
@@ -79,25 +79,19 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = content_h
 
 
 def drop_copies(docs: DataFrame, digest: Callable[[Column], Column] = content_hash) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    groups = materialize(exact_groups(docs, digest), "exact")
-    key = digest(without_white(text_of()))
-    marked = docs.withColumn("_hash", key)
-    gone = groups.filter("not kept").select("doc_id", "h", "text_sha256", "n_points").distinct()
-    text = text_of()
-    at = [F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")), F.col("d._hash") == F.col("g.h"),
-          F.sha2(without_white(F.coalesce(F.col("d.text"), F.lit(""))), 256) == F.col("g.text_sha256"),
-          F.char_length(F.coalesce(F.col("d.text"), F.lit(""))) == F.col("g.n_points")]
-    stay = marked.alias("d").join(gone.alias("g"), at, "left_anti")
-    # of a row that is repeated whole, one kept and other dropped rows share the key
-    twice = groups.filter("kept").select("doc_id", "h", "text_sha256", "n_points").join(
-        gone, [F.col("doc_id").eqNullSafe(gone["doc_id"]), groups["h"] == gone["h"],
-               groups["text_sha256"] == gone["text_sha256"], groups["n_points"] == gone["n_points"]], "left_semi")
-    if not twice.isEmpty():
-        again = marked.alias("d").join(twice.alias("g"), at, "left_semi")
-        number = F.row_number().over(Window.partitionBy("_hash", "doc_id", text).orderBy(F.col("source"), F.col("lang")))
-        stay = stay.unionByName(again.withColumn("_n", number).filter("_n = 1").drop("_n"))
-    return stay.drop("_hash")
+    """The rows of ``docs`` that stay, with all their columns; of rows repeated with id and text one stays."""
+    key = ["doc_id", "text_sha256", "n_points"]
+    rows = exact_groups(docs, digest).groupBy(*key).agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    marks = materialize(rows.filter("not kept or rows > 1"), "marks")
+    marked = docs.select(*[F.col(c) for c in docs.columns], F.struct(
+        F.col("doc_id"), F.sha2(without_white(text_of()), 256).alias("text_sha256"),
+        F.char_length(text_of()).cast("long").alias("n_points")).alias("_key"))
+    same = [F.col(f"d._key.{k}").eqNullSafe(F.col(f"m.{k}")) for k in key]
+    stay = marked.alias("d").join(marks.alias("m"), same, "left_anti")
+    repeated = marks.filter("kept")
+    if not repeated.isEmpty():
+        stay = stay.unionByName(marked.alias("d").join(repeated.alias("m"), same, "left_semi").dropDuplicates(["_key"]))
+    return stay.drop("_key")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlore.llm.common import broadcast_bits, table
+from gridlore.llm.common import broadcast_bits, table, text_of
 from gridlore.llm.components import components
 from gridlore.llm.kernels import mix, shingle_sets
 from gridlore.session import materialize
@@ -24,7 +24,9 @@ from gridlore.session import materialize
 #: log2 of the counters of the token sketch, of the bits of the signature filter and of the document filter: fixed sizes of
 #: 4, 8 and 1 MB on every executor, whatever the data.
 SKETCH_BITS, FILTER_BITS, DOC_BITS = 20, 26, 23
-#: Tokens of the sketch sent as one row.
+#: Bits of a set's parity map: differing bits are differing tokens at least.
+PARITY_BITS = 1024
+#: log2 of the counters of the sketch sent as one row.
 _CHUNK_BITS = 14
 #: Tokens of a full set per class of frequent tokens.
 _CLASS = 13
@@ -38,6 +40,12 @@ def _digest(tokens: np.ndarray, seed: int) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+def _parity(tokens: np.ndarray) -> np.ndarray:
+    """Whether an odd number of tokens falls on each bit, as signed 64-bit numbers."""
+    odd = np.bincount((mix(tokens) >> np.uint64(40)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _allowed(size: int, percent: int) -> int:
     """Tokens of a set that may be missing in a linked one."""
     return size - -(-percent * size // 100)
@@ -97,7 +105,7 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, frequent: int, percent: i
 
 
 def _scan(docs: DataFrame, n: int, seed: int) -> DataFrame:
-    """Rows of kind 0: the digest and size of every document's set. Rows of kind 1: parts of the task's token counts."""
+    """Rows of kind 0: digest, size and parity map of every document's set. Rows of kind 1: parts of the task's token counts."""
     from gridlore.llm.packing import batch_type
 
     kind = batch_type(docs)
@@ -105,10 +113,11 @@ def _scan(docs: DataFrame, n: int, seed: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in batches:
-            sizes, digests, held, room = [], [], [], 0
+            sizes, digests, parities, held, room = [], [], [], [], 0
             for tokens in shingle_sets(batch.column(1), n):
                 sizes.append(len(tokens))
                 digests.append(_digest(tokens, seed))
+                parities.append(_parity(tokens))
                 held.append(tokens)
                 room += len(tokens)
                 if room > 500_000:
@@ -117,19 +126,19 @@ def _scan(docs: DataFrame, n: int, seed: int) -> DataFrame:
             _count(counts, held)
             size = len(sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * size, pa.int32()), batch.column(0).cast(kind), pa.array(sizes, pa.int64()),
+                [pa.array([0] * size, pa.int32()), batch.column(0).cast(kind), batch.column(2), pa.array(sizes, pa.int64()),
                  pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()),
-                 pa.nulls(size, pa.binary())], names=names)
+                 pa.array(parities, pa.list_(pa.int64())), pa.nulls(size, pa.binary())], names=names)
         parts = counts.reshape(-1, 1 << _CHUNK_BITS)
         used = np.flatnonzero(parts.any(axis=1))
         empty = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([1] * len(used), pa.int32()), pa.nulls(len(used), kind), pa.array(used, pa.int64()), empty, empty,
-             pa.array([parts[i].astype("<u4").tobytes() for i in used], pa.binary())], names=names)
+            [pa.array([1] * len(used), pa.int32()), pa.nulls(len(used), kind), empty, pa.array(used, pa.int64()), empty, empty,
+             pa.nulls(len(used), pa.list_(pa.int64())), pa.array([parts[i].astype("<u4").tobytes() for i in used], pa.binary())], names=names)
 
-    names = ["kind", "doc_id", "n", "d1", "d2", "counts"]
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"kind int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, d1 long, d2 long, counts binary")
+    names = ["kind", "doc_id", "text_key", "n", "d1", "d2", "parity", "counts"]
+    return docs.select("doc_id", "text", F.xxhash64(text_of()).alias("text_key")).mapInArrow(
+        run, f"kind int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, n long, d1 long, d2 long, parity array<long>, counts binary")
 
 
 def _count(counts: np.ndarray, sets: list[np.ndarray]) -> None:
@@ -226,6 +235,20 @@ def _can_link(a: str, b: str, percent: int) -> Column:
             & ((100 + percent) * F.least(f"{a}.rest", f"{b}.rest").cast("long") >= percent * sizes))
 
 
+def _close(a: Column, b: Column, sizes: Column, percent: int) -> Column:
+    """Whether the parity maps allow a link: differing tokens are at least as many as differing bits."""
+    bits = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return (100 + percent) * (sizes - bits) >= 2 * percent * sizes
+
+
+def _fetched(docs: DataFrame, pairs: DataFrame, known: DataFrame, n: int, seed: int) -> DataFrame:
+    """``node, tokens`` of the nodes in ``pairs``."""
+    asked = materialize(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct(), "asked")
+    ids = known.join(asked, "node", "left_semi").select(_bit_of(F.col("doc_id")).alias("at"))
+    found = _sets(docs, n, seed, broadcast_bits(ids, "at", DOC_BITS)).join(asked, "node", "left_semi")
+    return materialize(found.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``u, v`` whose sets link."""
 
@@ -244,21 +267,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links``, one row per row of ``docs`` (``doc_id, text``).
+    """``doc_id, n_shingles, component_id, n_links, text_key, stays``, one row per row of ``docs`` (``doc_id, text``).
 
     Documents link when 100 * intersection >= ``percent`` * union of their distinct ``n``-word runs, A-Z lower-cased;
     fewer words are one run; without words or text a document links with nothing and is its own component.
-    ``component_id`` is the smallest id reachable by links. ``n_links`` counts the found links of the document's set to
+    ``component_id`` is the smallest id reachable by links; ``stays`` marks its row. ``n_links`` counts the found links of the document's set to
     different sets, at least a spanning tree's: sets already connected are not compared again.
 
     Equal sets are one node, told apart by a 64-bit digest; a second one of 64 bits shows collisions, upon which the digest
     changes. First every set meets the one of each shared signature that can share most tokens; then only sets of different
-    components that meet in a signature are compared, all of them.
+    components that meet in a signature are compared, all of them. Parity maps of 1,024 bits rule out most pairs before whole sets
+    are fetched; what they rule out cannot link.
     """
     docs = docs.select("doc_id", "text")
     for seed in range(1 << 20):
         scanned = materialize(_scan(docs, n, seed), "shingles")
-        nodes = scanned.filter("kind = 0").select("doc_id", "n", "d1", "d2")
+        nodes = scanned.filter("kind = 0").select("doc_id", "text_key", "n", "d1", "d2", "parity")
         if nodes.groupBy("d1").agg(F.min("d2").alias("a"), F.max("d2").alias("b")).filter("a <> b").isEmpty():
             break
     sketch = _sketch(scanned)
@@ -273,54 +297,60 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     some = some.groupBy("sig", "node").agg(F.max("n").alias("n"), F.max("rest").alias("rest"))
     members = materialize(some.join(shared, "sig", "left_semi"), "members")
 
-    asked = members.select("node").distinct()
-    ids = nodes.groupBy(F.col("d1").alias("node")).agg(F.min("doc_id").alias("doc_id")).join(asked, "node", "left_semi")
-    wanted = broadcast_bits(ids.select(_bit_of(F.col("doc_id")).alias("at")), "at", DOC_BITS)
-    sets = _sets(docs, n, seed, wanted).groupBy("node").agg(F.first("tokens").alias("tokens"))
-    sets = materialize(sets.join(asked, "node", "left_semi"), "sets")
+    asked = materialize(members.select("node").distinct(), "asked")
+    known = materialize(nodes.groupBy(F.col("d1").alias("node")).agg(F.min("doc_id").alias("doc_id"), F.first("parity").alias("parity"))
+                        .join(asked, "node", "left_semi"), "nodes")
+    parity = known.select("node", "parity")
 
     top = members.groupBy("sig").agg(F.max(F.struct("rest", "n", "node")).alias("top")).select("sig", "top.*")
     met = members.alias("a").join(materialize(top, "tops").alias("b"), "sig")
-    ordered = [F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")]
+    ordered = [F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"), (F.col("a.n") + F.col("b.n")).alias("sizes")]
     differ = F.col("a.node") != F.col("b.node")
     first = materialize(met.filter(differ & _can_link("a", "b", percent)).select(*ordered).distinct(), "pairs")
-    edges = materialize(_verified(first, sets, percent), "links")
+    near = first.join(parity.select(F.col("node").alias("u"), F.col("parity").alias("x")), "u").join(
+        parity.select(F.col("node").alias("v"), F.col("parity").alias("y")), "v")
+    near = materialize(near.filter(_close(F.col("x"), F.col("y"), F.col("sizes"), percent)).select("u", "v"), "pairs")
+    edges = materialize(_verified(near, _fetched(docs, near, known, n, seed), percent), "links")
 
+    # a signature of two sets is done; of others only members of different components remain
     found = materialize(components(edges), "components")
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = materialize(placed, "placed")
-    split = placed.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("sig")
-    unsettled = materialize(placed.join(materialize(split, "unsettled-signatures"), "sig", "left_semi"), "unsettled")
-    # (`component` differs only in part of a signature's pairs, so both sides read one written table)
+    placed = materialize(members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+    split = placed.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"))
+    split = materialize(split.filter("x <> y and m > 2").select("sig"), "unsettled-signatures")
+    unsettled = materialize(placed.join(split, "sig", "left_semi").join(parity, "node"), "unsettled")
     left, right = unsettled.alias("a"), unsettled.alias("b")
-    second = left.join(right, F.col("a.sig") == F.col("b.sig")).filter(
-        (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & _can_link("a", "b", percent))
-    second = materialize(second.select(*ordered).distinct().join(first, ["u", "v"], "left_anti"), "pairs")
-    edges = materialize(edges.unionByName(_verified(second, sets, percent)), "links")
+    second = left.join(right, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.node") < F.col("b.node"))
+                       & (F.col("a.component") != F.col("b.component")) & _can_link("a", "b", percent)
+                       & _close(F.col("a.parity"), F.col("b.parity"), F.col("a.n") + F.col("b.n"), percent))
+    second = materialize(second.select(*ordered[:2]).distinct().join(near, ["u", "v"], "left_anti"), "pairs")
+    edges = materialize(edges.unionByName(_verified(second, _fetched(docs, second, known, n, seed), percent)), "links")
 
     found = materialize(components(edges), "components")
     ends = edges.select(F.col("u").alias("node")).unionByName(edges.select(F.col("v").alias("node")))
     degree = materialize(ends.groupBy("node").agg(F.count("*").alias("n_links")).join(found, "node"), "degrees")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_key"))
     each = nodes.filter("n > 0").withColumnRenamed("d1", "node").join(degree, "node", "left").select(
-        "doc_id", "n", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "doc_id", "text_key", "n", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     each = materialize(each, "documents")
-    least = materialize(each.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
-    linked = each.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    least = materialize(each.groupBy("component").agg(F.min(place).alias("first")), "least")
+    linked = each.join(least, "component").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("component_id"), "n_links", "text_key", (place == F.col("first")).alias("stays"))
     alone = nodes.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-                                         F.lit(0).cast("long").alias("n_links"))
+                                         F.lit(0).cast("long").alias("n_links"), "text_key", F.lit(True).alias("stays"))
     return linked.unionByName(alone)
 
 
 def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its component, with all their columns.
+    """One row of every component of ``docs`` and all rows without words, with all their columns.
 
-    Rows without an id stay where they are a component of their own, otherwise the smallest id stays.
+    The smallest id stays, null last, then the smallest hash of the text. Rows repeated with their id and text stay or go together.
     """
     classes = jaccard_classes(docs, n, percent)
-    gone = materialize(classes.filter("doc_id <> component_id or (doc_id is null and component_id is not null)")
-                       .select("doc_id").distinct(), "near-copies")
-    return docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")), "left_anti")
+    gone = materialize(classes.filter("not stays").select("doc_id", "text_key").distinct(), "near-copies")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.xxhash64(F.coalesce(F.col("d.text"), F.lit(""))) == F.col("g.text_key"))
+    return docs.alias("d").join(gone.alias("g"), same, "left_anti")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_classes(table(spark, sf_dir, "documents"))
+    classes = jaccard_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "n_shingles", "component_id", "n_links")

@@ -8,7 +8,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Odd multipliers of the word and shingle hashes.
 BASE = 0x9E3779B97F4A7C15
 WORD_WEIGHTS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)
@@ -68,7 +68,7 @@ def row_blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[
 
 
 def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    power, inverse = _powers(1 << max(20, int(len(data)).bit_length()))
+    power, inverse = _powers(1 << max(20, len(data).bit_length()))
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=total[1:])
     value = (total[ends] - total[starts]) * inverse[starts]
@@ -85,7 +85,7 @@ def words(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = WHITE) -> tu
     starts_at: list[np.ndarray] = []
     begin, size = 0, len(data)
     while begin < size:
-        end = min(size, begin + 2 * BLOCK_BYTES)
+        end = min(size, begin + BLOCK_BYTES)
         while end < size and not gaps[data[end]]:
             more = np.flatnonzero(gaps[data[end:end + BLOCK_BYTES]])
             end = end + int(more[0]) if len(more) else min(size, end + BLOCK_BYTES)
