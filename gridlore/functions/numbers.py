@@ -16,6 +16,12 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def to_double(c: Column | str) -> Column:
+    """A decimal literal as a number. Java's own forms (``2024d``, ``2024f``, hexadecimal) and booleans are not numbers."""
+    text = _col(c).cast("string")
+    return F.when(~text.rlike(r"(?i)[0-9.][df]\s*$|x"), text.try_cast("double"))
+
+
 def parse_decimal_text(c: Column | str) -> Column:
     """Decimal number in either locale: ``1.234,56`` and ``1,234.56`` are the same value."""
     s = F.regexp_replace(_col(c).cast("string"), _NOISE, "")
@@ -43,18 +49,18 @@ def parse_number(c: Column | str, dtype: str) -> Column:
 
 def parse_int(c: Column | str) -> Column:
     """Whole number read through a float, truncated toward zero."""
-    number = _col(c).try_cast("double")
+    number = to_double(c)
     return F.when(~F.isnan(number), number).try_cast("int")
 
 
 def currency_to_double(c: Column | str) -> Column:
     """Pound amounts, also where the sign was decoded as two characters."""
-    return F.regexp_replace(_col(c), r"[Â£,\s]", "").try_cast("double")
+    return to_double(F.regexp_replace(_col(c), r"[Â£,\s]", ""))
 
 
 def price_from_parts(whole: Column | str, fraction: Column | str) -> Column:
     clean = [F.regexp_replace(_col(c), r"[.,\s]", "") for c in (whole, fraction)]
-    return F.concat(clean[0], F.lit("."), clean[1]).try_cast("double")
+    return to_double(F.concat(clean[0], F.lit("."), clean[1]))
 
 
 def digits_only(c: Column | str) -> Column:

@@ -32,15 +32,16 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """
     s_cols = [c for c in source.columns if c != key]
     t_cols = [c for c in target.columns if c != key]
-    s = source.select(F.col(key).alias("_s_key"), *[F.col(c).alias(f"_s_{c}") for c in s_cols])
-    both = target.join(s, F.col(key).eqNullSafe(F.col("_s_key")), "full_outer")
-    in_source, in_target = F.col("_s_key").isNotNull(), F.col(key).isNotNull()
+    s = source.select(F.col(key).alias("_s_key"), *[F.col(c).alias(f"_s_{c}") for c in s_cols], F.lit(True).alias("_s_side"))
+    both = target.withColumn("_t_side", F.lit(True)).join(s, F.col(key).eqNullSafe(F.col("_s_key")), "full_outer")
+    # side flags are literals: a null key is a key like any other
+    in_source, in_target = F.col("_s_side").isNotNull(), F.col("_t_side").isNotNull()
     same = F.lit(True)
     for c in s_cols:
         same = same & (F.col(c).eqNullSafe(F.col(f"_s_{c}")) if c in t_cols else F.lit(False))
     state = (F.when(~in_source, "untouched").when(~in_target, "inserted")
              .when(same, "matched").otherwise("modified"))
-    out = [F.coalesce(F.col(key), F.col("_s_key")).alias(key)]
+    out = [F.when(in_source, F.col("_s_key")).otherwise(F.col(key)).alias(key)]
     for c in [*t_cols, *[c for c in s_cols if c not in t_cols]]:
         if c not in s_cols:
             out.append(F.col(c))
@@ -81,17 +82,13 @@ def upsert_table(path: str, source: DataFrame, key: str, partition_by: Sequence[
     Of source rows sharing a key the one with the greatest ``newest`` columns, then the greatest rest, is taken.
     ``partition_by`` must be part of what the key is made of, so a key never changes partition. Only partitions
     the source touches are read and replaced. The merge is written aside first: the table is never read and
-    written in one job, and repeating a failed run gives the same table. ``schema`` is the table's, if it has
-    columns the source lacks.
+    written in one job, and repeating a failed run gives the same table. Columns that only the table has are kept: its
+    own schema, merged over its files, is read unless ``schema`` gives it. Partitions are replaced one after the other, so
+    a reader meanwhile can see old and new ones.
     """
     spark = source.sparkSession
     source = materialize(latest_by(source, [key], newest), "upsert-source")
-    try:
-        stored = spark.read.schema(schema or source.schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = None
+    stored = _stored(source, path, schema)
     if stored is None:
         _write_partitions(source, path, partition_by)
         return upsert_counters(source.withColumn(STATE, F.lit("inserted")))
@@ -100,6 +97,21 @@ def upsert_table(path: str, source: DataFrame, key: str, partition_by: Sequence[
     return upsert_counters(merged)
 
 
+def _stored(source: DataFrame, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The table with all its columns; types are the source's where it has the column. None where there is no table."""
+    read = source.sparkSession.read
+    try:
+        if schema is None:
+            own = {f.name: f for f in source.schema}
+            found = source.sparkSession.read.option("mergeSchema", True).parquet(path).schema
+            schema = StructType([own.get(f.name, f) for f in found])
+        return read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def _write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replaces the partitions ``df`` has rows for; large ones are split over tasks, small ones share one."""
     (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -114,8 +126,36 @@ def replace_where(target: DataFrame, source: DataFrame, condition: Column) -> Da
 
 def replace_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same with the key values the source holds."""
-    return target.join(source.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns).unionByName(
-        source, allowMissingColumns=True)
+    return _others(target, source, keys).unionByName(source, allowMissingColumns=True)
+
+
+def _others(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key values the source does not hold; null equals null."""
+    held = source.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    return target.join(held, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_anti")
+
+
+def replace_table(path: str, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
+    """Replaces the rows of a stored table that share the source's key values and returns ``deleted`` and ``inserted``.
+
+    ``partition_by`` must be among ``keys``, so only partitions the source touches are read and replaced. Columns only the
+    table has are kept and null in the new rows. A repeated run gives the same table.
+    """
+    if not set(partition_by) <= set(keys):
+        raise ValueError(f"{sorted(set(partition_by) - set(keys))} are not among the keys")
+    source = materialize(source, "replace-source")
+    inserted = source.agg(F.count("*").alias("inserted"))
+    stored = _stored(source, path)
+    if stored is None:
+        _write_partitions(source, path, partition_by)
+        return inserted.select(F.lit(0).cast("long").alias("deleted"), "inserted")
+    touched = _touched(stored, source, partition_by)
+    kept = _others(touched, source, keys)
+    tallies = materialize(touched.agg(F.count("*").alias("n")), "replace-before").withColumn("kept", kept.agg(F.count("*")).scalar())
+    tallies = materialize(tallies.select((F.col("n") - F.col("kept")).alias("deleted")), "replace-counters")
+    after = materialize(kept.unionByName(source, allowMissingColumns=True), "replace-after")
+    _write_partitions(after, path, partition_by)
+    return tallies.withColumn("inserted", inserted.scalar())
 
 
 def replace_counters(target: DataFrame, source: DataFrame, condition: Column) -> DataFrame:

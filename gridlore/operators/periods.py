@@ -49,5 +49,5 @@ def resolve_common_year(df: DataFrame, year: int | None = None) -> int:
         raise ValueError("no dataset has a valid period")
     if year is None:
         raise ValueError("the datasets share no period")
-    lacking = [r["dataset"] for r in missing_datasets(df, year).orderBy("dataset").limit(20).collect()]
-    raise ValueError(f"period {year} is not in all datasets; lacking: {', '.join(lacking)}")
+    lacking = missing_datasets(df, year).agg(F.array_join(F.array_sort(F.collect_set("dataset")), ", ").alias("names")).first()["names"]
+    raise ValueError(f"period {year} is not in all datasets; lacking: {lacking}")

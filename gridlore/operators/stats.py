@@ -39,10 +39,10 @@ def brand_report(df: DataFrame, brand: Column, floor: float, digits: int = 6) ->
 
 
 def value_summary(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int | None = None,
-                  digits: int = 6) -> DataFrame:
-    """Count, mean and maximum of ``valor`` per key."""
+                  digits: int = 6, all_rows: bool = False) -> DataFrame:
+    """Count, mean and maximum of ``valor`` per key; ``all_rows`` counts rows without a value too."""
     out = df.groupBy(*keys).agg(
-        F.count("valor").alias("registros"),
+        F.count("*" if all_rows else "valor").alias("registros"),
         F.round(F.avg("valor"), digits).alias("promedio"),
         F.max("valor").alias("maximo")).orderBy(*order)
     return out if limit is None else out.limit(limit)
@@ -94,7 +94,8 @@ def boxplot(df: DataFrame, key: str, column: str, digits: int = 6) -> DataFrame:
     quarts = exact_quantiles_wide(df, column, named, by=[key], interpolate=True)
     ends = df.groupBy(key).agg(F.min(column).alias("minimo"), F.max(column).alias("maximo"))
     spread = F.col("q3") - F.col("q1")
-    return quarts.join(ends, key).select(
+    ends = ends.withColumnRenamed(key, "_key")
+    return quarts.join(ends, F.col(key).eqNullSafe(F.col("_key"))).select(
         key, *[F.round(c, digits).alias(c) for c in ("minimo", "q1", "mediana", "q3", "maximo")],
         F.round(F.col("q1") - 1.5 * spread, digits).alias("bigote_inferior"),
         F.round(F.col("q3") + 1.5 * spread, digits).alias("bigote_superior"))
@@ -128,7 +129,12 @@ def rank_correlation(df: DataFrame, columns: Sequence[str], row_id: Sequence[str
 
 
 def confusion(df: DataFrame, label: str, prediction: str, values: Sequence) -> DataFrame:
-    """Counts per label and prediction; the prediction columns are fixed, absent pairs are 0."""
+    """Counts per label and prediction; the prediction columns are fixed, absent pairs are 0.
+
+    A prediction outside ``values``, null included, is an error, so the counts always add up to all rows.
+    """
+    if not df.filter(~F.coalesce(F.col(prediction).isin(list(values)), F.lit(False))).isEmpty():
+        raise ValueError(f"{prediction} has values other than {list(values)}")
     return df.groupBy(label).pivot(prediction, list(values)).count().na.fill(0).orderBy(label)
 
 

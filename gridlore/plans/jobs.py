@@ -39,10 +39,11 @@ def integrate(spark: SparkSession, registry: SourceRegistry, folder: str, store:
     clean = materialize(clean_facts(raw.filter(F.col("periodo") == period)), "clean-facts")
     if clean.isEmpty():
         raise RuntimeError("cleaning left no rows")
+    counters = upsert_table(store, keyed(clean), "registro_id", STORE_PARTITIONS, NEWEST)
     if export:
         sinks.export_csv(clean, f"{export}/csv")
         sinks.export_json(clean, f"{export}/json")
-    return clean, upsert_table(store, keyed(clean), "registro_id", STORE_PARTITIONS, NEWEST)
+    return clean, counters
 
 
 def explore(facts: DataFrame, out: str) -> DataFrame:
@@ -63,7 +64,7 @@ def explore(facts: DataFrame, out: str) -> DataFrame:
     }
     sinks.export_csv(features, f"{out}/features", profiles.PROFILE_KEY)
     for name, report in reports.items():
-        report.write.option("header", True).csv(f"{out}/{name}")
+        report.write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
     return features
 
 
@@ -79,10 +80,10 @@ def cluster(features: DataFrame, out: str, eps: float = EPS, min_samples: int =
     clustered.write.mode("overwrite").parquet(f"{out}/datos_etiquetados_kmeans")
     model.write().overwrite().save(f"{out}/modelo_kmeans")
     spark = features.sparkSession
-    spark.createDataFrame(sweep, "k int, inercia double, silhouette double").coalesce(1).write.option(
+    spark.createDataFrame(sweep, "k int, inercia double, silhouette double").coalesce(1).write.mode("overwrite").option(
         "header", True).csv(f"{out}/evaluacion_kmeans")
-    modeling.explained_variance(scaled, pca).write.option("header", True).csv(f"{out}/varianza_pca")
-    modeling.cluster_profile(clustered).write.option("header", True).csv(f"{out}/perfil_clusters")
+    modeling.explained_variance(scaled, pca).write.mode("overwrite").option("header", True).csv(f"{out}/varianza_pca")
+    modeling.cluster_profile(clustered).write.mode("overwrite").option("header", True).csv(f"{out}/perfil_clusters")
     # rows are numbered once and stored with their number, which orders the density clusters
     rows = materialize(clustered.select(
         *profiles.PROFILE_KEY, "generacion_mwh", "emisiones_co2_mt", "intensidad_co2", "PC1", "PC2",
@@ -110,5 +111,5 @@ def supervise(clustered: DataFrame, out: str, keys: Sequence[str] = tuple(profil
         "metricas_regresion": spark.createDataFrame([tuple(metrics.values())], [*metrics]),
     }
     for name, report in reports.items():
-        report.write.option("header", True).csv(f"{out}/{name}")
+        report.write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
     return board

@@ -80,11 +80,14 @@ def blank_to_null(spark, folder):
 
 
 @query("coerce_numeric", """
-SELECT p_partkey, try_cast(CASE WHEN p_size % 5 = 0 THEN p_name ELSE CAST(p_size AS VARCHAR) || '.5' END AS DOUBLE) AS valor
+SELECT p_partkey, try_cast(CASE p_size % 5 WHEN 0 THEN p_name WHEN 1 THEN p_size || '.5d' WHEN 2 THEN p_size || '.5F'
+  ELSE p_size || '.5' END AS DOUBLE) AS valor
 FROM part""")
 def coerce_numeric(spark, folder):
-    raw = F.when(F.col("p_size") % 5 == 0, F.col("p_name")).otherwise(F.concat(F.col("p_size").cast("string"), F.lit(".5")))
-    return table(spark, folder, "part").select("p_partkey", raw.try_cast("double").alias("valor"))
+    number = F.concat(F.col("p_size").cast("string"), F.lit(".5"))
+    raw = (F.when(F.col("p_size") % 5 == 0, F.col("p_name")).when(F.col("p_size") % 5 == 1, F.concat(number, F.lit("d")))
+           .when(F.col("p_size") % 5 == 2, F.concat(number, F.lit("F"))).otherwise(number))
+    return table(spark, folder, "part").select("p_partkey", numbers.to_double(raw).alias("valor"))
 
 
 @query("default_category", """

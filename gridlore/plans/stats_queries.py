@@ -64,14 +64,15 @@ def brand_avg_price(spark, folder):
     return stats.brand_report(parts, first_token("identificador"), 950.0)
 
 
+_SUMMARY_ROWS = "count(*) AS registros, round(avg(valor), 6) AS promedio, max(valor) AS maximo"
 _SUMMARY = "count(valor) AS registros, round(avg(valor), 6) AS promedio, max(valor) AS maximo"
 
 
 @query("summary_category", f"""
-WITH {FACTS_SQL} SELECT pais, categoria_energia, indicador, {_SUMMARY} FROM facts GROUP BY ALL""")
+WITH {FACTS_SQL} SELECT pais, categoria_energia, indicador, {_SUMMARY_ROWS} FROM facts GROUP BY ALL""")
 def summary_category(spark, folder):
     keys = ["pais", "categoria_energia", "indicador"]
-    return stats.value_summary(inputs.facts(spark, folder), keys, [F.desc("registros"), F.desc("maximo"), *keys])
+    return stats.value_summary(inputs.facts(spark, folder), keys, [F.desc("registros"), F.desc("maximo"), *keys], all_rows=True)
 
 
 @query("summary_dataset", f"WITH {FACTS_SQL} SELECT integrante, dataset, {_SUMMARY} FROM facts GROUP BY ALL")

@@ -292,6 +292,26 @@ def replace_counters(spark, folder):
     return merge.replace_counters(*_replacement(spark, folder))
 
 
+@query("replace_table_reload", """
+SELECT o_orderstatus AS grupo, count(*) AS registros, round(sum(o_totalprice), 2) AS total, 0 AS nuevos, 0 AS borrados,
+  count(*) AS notas FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1
+UNION ALL SELECT 'F', count(*), round(sum(c_acctbal), 2), count(*), count(*), 0 FROM customer""")
+def replace_table_reload(spark, folder):
+    """A stored table whose one group is replaced twice; the second run deletes what the first inserted. Only the table has notes."""
+    stored = table(spark, folder, "orders").select(F.col("o_orderstatus").alias("grupo"), F.col("o_totalprice").alias("valor"),
+                                                   F.lit("nota").alias("nota"))
+    fresh = table(spark, folder, "customer").select(F.lit("F").alias("grupo"), F.col("c_acctbal").alias("valor"))
+    path = new_path(spark, "replaced")
+    merge.replace_table(path, stored, ["grupo"], ["grupo"])
+    merge.replace_table(path, fresh, ["grupo"], ["grupo"])
+    tallies = merge.replace_table(path, fresh, ["grupo"], ["grupo"])
+    is_new = F.col("grupo") == "F"
+    after = spark.read.schema("valor double, nota string, grupo string").parquet(path)
+    return after.groupBy("grupo").agg(F.count("*").alias("registros"), F.round(F.sum("valor"), 2).alias("total"), F.count("nota").alias("notas")).select(
+        "grupo", "registros", "total", F.when(is_new, tallies.select("inserted").scalar()).otherwise(F.lit(0).cast("long")).alias("nuevos"),
+        F.when(is_new, tallies.select("deleted").scalar()).otherwise(F.lit(0).cast("long")).alias("borrados"), "notas")
+
+
 @query("append_quarantine", """
 SELECT CASE WHEN p_type = 'PROMO' THEN 'cuarentena' ELSE 'cargado' END AS destino, count(*) AS registros,
        round(sum(CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_retailprice END), 2) AS total,

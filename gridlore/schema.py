@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridlore.functions.numbers import to_double
+
 # fixed values: column names of the fact table, in output order
 FACT_COLUMNS = [
     "fuente_sitio", "dataset", "url_origen", "grupo", "integrante", "tema",
@@ -45,7 +47,8 @@ def project(df: DataFrame, schema: T.StructType = FACT_SCHEMA) -> DataFrame:
         elif have[field.name] == field.dataType.simpleString():
             out.append(F.col(field.name))
         else:
-            out.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
+            value = to_double(field.name) if field.dataType.simpleString() == "double" else F.col(field.name).try_cast(field.dataType)
+            out.append(value.alias(field.name))
     return df.select(*out)
 
 

@@ -17,6 +17,10 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multiline).csv(path)
 
 
+#: Conditions that say a source is not there; any other error is not taken for absence.
+_ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "DATA_SOURCE_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
 def _texts(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -24,16 +28,21 @@ def _texts(names: Sequence[str]) -> T.StructType:
 def read_csv_with_banner(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """CSV whose header comes after banner lines.
 
-    Banner and header are told by content, not by line number, so files are still split over tasks: the header
-    repeats the column names, a banner has text in its first cell only.
+    The header is the line that repeats the column names. Lines before it in the split that starts a file, with text in
+    the first cell only, are banners; rows of that look after it are data. Files are still split over tasks. A file
+    without a header has no banner.
     """
     names = [f.name for f in schema]
-    raw = spark.read.schema(_texts(names)).option("escape", '"').csv(path)
+    raw = spark.read.schema(_texts(names)).option("escape", '"').csv(path).select(
+        *names, F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") == 0).alias("_first"),
+        F.monotonically_increasing_id().alias("_place"))
     header = F.lit(True)
     for n in names:
         header = header & F.coalesce(snake(n) == snake_name(n), F.lit(False))
     banner = F.forall(F.array(*[F.col(n).isNull() for n in names[1:]]), lambda empty: empty)
-    rows = raw.filter(~header & ~banner)
+    heads = raw.filter(header & F.col("_first")).groupBy("_file").agg(F.min("_place").alias("_head"))
+    ahead = banner & F.col("_first") & F.coalesce(F.col("_place") < F.col("_head"), F.lit(False))
+    rows = raw.join(heads, "_file", "left").filter(~header & ~ahead)
     typed = [F.col(f.name) if isinstance(f.dataType, T.StringType)
              else F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
     return snake_columns(rows.select(*typed))
@@ -82,5 +91,7 @@ def read_first_available(candidates: Sequence[tuple[str, Callable[[], DataFrame]
                 return df, name
             reasons.append(f"{name}: empty")
         except PySparkException as error:
+            if error.getCondition() not in _ABSENT:
+                raise
             reasons.append(f"{name}: {str(error).splitlines()[0]}")
     raise FileNotFoundError(f"no source has data ({'; '.join(reasons) or 'none given'})")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlore.functions.numbers import parse_int
+from gridlore.functions.numbers import parse_int, to_double
 from gridlore.functions.text import classify, item_label, year_of
 from gridlore.operators.cleaning import SUBTOTALS, exclude_members, positive
 from gridlore.operators.reshape import measures_to_rows
@@ -32,7 +32,7 @@ def source_labels(member: str, captured: str, group: str, theme: str, site: str,
 def _numeric(df: DataFrame) -> DataFrame:
     types = dict(df.dtypes)
     if types["valor"] != "double":
-        df = df.withColumn("valor", F.col("valor").try_cast("double"))
+        df = df.withColumn("valor", to_double("valor"))
     if types["periodo"] != "int":
         df = df.withColumn("periodo", parse_int("periodo"))
     return df

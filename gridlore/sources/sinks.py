@@ -1,4 +1,4 @@
-"""Writers. All write from the executors."""
+"""Writers. All write from the executors; exports replace what an earlier run left."""
 
 from __future__ import annotations
 
@@ -21,13 +21,13 @@ def export_csv(df: DataFrame, path: str, order: Sequence[str] = tuple(EXPORT_ORD
                as_text: Sequence[str] = ()) -> None:
     """Ordered CSV: files in name order hold the rows in order. Blank and null cells stay apart."""
     _ordered(df, order, as_text).write.option("header", True).option("escape", '"').option("nullValue", "").option(
-        "emptyValue", '""').csv(path)
+        "emptyValue", '""').mode("overwrite").csv(path)
 
 
 def export_json(df: DataFrame, path: str, order: Sequence[str] = tuple(EXPORT_ORDER),
                 as_text: Sequence[str] = ()) -> None:
     """Ordered JSON records, one per line; fields that are null are written too."""
-    _ordered(df, order, as_text).write.option("ignoreNullFields", False).json(path)
+    _ordered(df, order, as_text).write.option("ignoreNullFields", False).mode("overwrite").json(path)
 
 
 def write_facts(df: DataFrame, path: str, partition_by: Sequence[str] = ("dataset", "periodo")) -> None:

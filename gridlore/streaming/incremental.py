@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gridlore.operators.merge import latest_by
-from gridlore.session import new_path
 
 BATCH = "_batch"
 
@@ -22,18 +21,18 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def run_upsert(stream: DataFrame, table: str, keys: Sequence[str], newest: Sequence[str],
-               checkpoint: str | None = None) -> None:
+               checkpoint: str) -> None:
     """Works off all waiting files into ``table`` and ends.
 
     Each batch is reduced to its newest row per key and stored under its batch number. A batch repeated after a
     failure replaces its own folder, and the newest row wins when the table is read, so neither repeats nor the
     order of batches change the result, and a batch costs its own size, not the table's. There is no watermark:
-    a late row is only older, not wrong.
+    a late row is only older, not wrong. ``checkpoint`` belongs to the table: with another one batch numbers would start
+    again and replace stored batches.
     """
     def store(batch: DataFrame, number: int) -> None:
         latest_by(batch, keys, newest).write.mode("overwrite").parquet(f"{table}/{BATCH}={number}")
 
-    checkpoint = checkpoint or new_path(stream.sparkSession, "stream-state")
     query = (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()

@@ -20,7 +20,7 @@ def test_integrate_twice_changes_nothing(spark):
     assert first.first()["inserted"] == stored.count() <= clean.count()
     assert [r[0] for r in clean.select("periodo").distinct().collect()] == [2001]
     assert spark.read.option("header", True).csv(f"{export}/csv").count() == clean.count()
-    _, second = jobs.integrate(spark, registry, FOLDER, store)
+    _, second = jobs.integrate(spark, registry, FOLDER, store, export)
     assert second.first()["inserted"] == 0 and second.first()["modified"] == 0
     with pytest.raises(ValueError, match="1990"):
         jobs.integrate(spark, registry, FOLDER, store, year=1990)
