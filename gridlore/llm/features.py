@@ -22,7 +22,7 @@ _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _UPPER = np.isin(np.arange(256), np.arange(65, 91))
 _DIGIT = np.isin(np.arange(256), np.arange(48, 58))
 _SHOUT = np.isin(np.arange(256), np.frombuffer(b"!?", np.uint8))
-_STATISTICS = 8
+_STATISTICS = 9
 #: Slots of words and statistics together.
 SLOTS = (1 << WORD_BITS) + _STATISTICS * (_STEPS + 1)
 
@@ -58,11 +58,19 @@ def _statistics(span: np.ndarray, at: np.ndarray, hashes: np.ndarray, rows: np.n
         np.clip(np.log2(n_words + 1).astype(np.int64) // 2, 0, _STEPS), length], axis=1)
 
 
-def sparse_rows(column: pa.Array, structure: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _length_step(lengths: pa.Array | None, n: int) -> np.ndarray:
+    """Metadata: the recorded length in steps of two doublings, 0 where it is null or absent."""
+    if lengths is None:
+        return np.zeros(n, np.int64)
+    known = lengths.cast(pa.int64()).fill_null(-1).to_numpy()
+    return np.where(known < 0, 0, np.clip(np.log2(np.maximum(known, 0) + 1).astype(np.int64) // 2 + 1, 1, _STEPS))
+
+
+def sparse_rows(column: pa.Array, structure: bool, lengths: pa.Array | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For blocks of rows: the offsets of their features and the features' slots, each slot once per row.
 
-    Words are lower-cased runs without ASCII punctuation. With ``structure`` the steps of the statistics
-    follow; then even an empty or null text has features.
+    Words are lower-cased runs without ASCII punctuation. With ``structure`` the steps of the statistics and of the
+    recorded ``lengths`` follow; then even an empty or null text has features.
     """
     data, offsets = byte_rows(column)
     for first, end in row_blocks(offsets):
@@ -71,7 +79,8 @@ def sparse_rows(column: pa.Array, structure: bool) -> Iterator[tuple[np.ndarray,
         hashes, rows = words(LOWER[raw], at, NON_ALNUM)
         key = (np.repeat(np.arange(end - first, dtype=np.int64), np.diff(rows)) << 32) | (hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64)
         if structure:
-            steps = _statistics(raw, at, hashes, rows)
+            recorded = _length_step(lengths.slice(first, end - first) if lengths is not None else None, end - first)
+            steps = np.concatenate([_statistics(raw, at, hashes, rows), recorded[:, None]], axis=1)
             slots = (1 << WORD_BITS) + np.arange(_STATISTICS) * (_STEPS + 1) + steps
             key = np.concatenate([key, ((np.arange(end - first, dtype=np.int64) << 32)[:, None] | slots).ravel()])
         key = np.unique(key)
@@ -91,6 +100,10 @@ class Sample:
         return np.repeat(np.arange(len(self.labels)), np.diff(self.offsets))
 
 
+def recorded_length(docs: DataFrame) -> Column:
+    return (F.col("n_chars").try_cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")).alias("_length")
+
+
 def sample_of(docs: DataFrame, labels: DataFrame, label: str, structure: bool, rows: int = SAMPLE_ROWS, where: Column | None = None) -> Sample:
     """Features of at most ``rows`` labelled documents, chosen by the hash of their ids.
 
@@ -104,15 +117,15 @@ def sample_of(docs: DataFrame, labels: DataFrame, label: str, structure: bool, r
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             start = 0
-            for offsets, slots in sparse_rows(batch.column(1), structure):
+            for offsets, slots in sparse_rows(batch.column(1), structure, batch.column(2)):
                 n = len(offsets) - 1
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(slots.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, n), batch.column(2).slice(start, n).cast(pa.int32()), lists],
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, n), batch.column(3).slice(start, n).cast(pa.int32()), lists],
                                                  names=["doc_id", "label", "slots"])
                 start += n
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.select("doc_id", "text").join(chosen, "doc_id").mapInArrow(run, f"doc_id {kind}, label int, slots array<int>").toArrow()
+    found = docs.select("doc_id", "text", recorded_length(docs)).join(chosen, "doc_id").mapInArrow(run, f"doc_id {kind}, label int, slots array<int>").toArrow()
     found = found.sort_by("doc_id").combine_chunks()
     lists = found["slots"].combine_chunks() if found.num_rows else None
     if lists is None:

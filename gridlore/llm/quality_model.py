@@ -11,13 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlore.llm.common import table
-from gridlore.llm.features import SLOTS, WORD_BITS, Sample, adam, compact, sample_of, sparse_rows
+from gridlore.llm.features import SLOTS, WORD_BITS, Sample, adam, compact, recorded_length, sample_of, sparse_rows
 
 RANK = 4
 #: The model is fitted on at most so many labelled rows, those of the smallest hash; the driver holds some 100 kB for each.
 SAMPLE_ROWS = 4_000
 STEPS, RATE, DECAY = 120, 0.05, 1e-3
-#: Weight of a word against a statistic, so that hundreds of words do not drown the eight statistics.
+#: Weight of a word against a statistic, so that hundreds of words do not drown the nine statistics.
 WORD_VALUE = 0.05
 FOLDS, HELD_OUT = 3, 1
 
@@ -82,17 +82,18 @@ def score_quality(docs: DataFrame, model: FactorModel) -> DataFrame:
     """All columns of ``docs`` with ``score`` from 0 to 1; a null or empty text is scored by its statistics."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     plain = docs.drop("score")
+    asked = plain.select("*", recorded_length(plain))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             found = [np.zeros(0)]
-            for offsets, slots in sparse_rows(batch.column(batch.schema.get_field_index("text")), structure=True):
+            for offsets, slots in sparse_rows(batch.column(batch.schema.get_field_index("text")), True, batch.column(batch.num_columns - 1)):
                 found.append(_scores(model, offsets, slots))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found))], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(found))], names=[*batch.schema.names[:-1], "score"])
 
-    return plain.mapInArrow(run, f"{schema}, score double")
+    return asked.mapInArrow(run, f"{schema}, score double")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -106,7 +107,7 @@ def quality_model(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     scored = score_quality(docs, quality_model(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -10,14 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlore.llm.features import SAMPLE_ROWS, SLOTS, Sample, adam, compact, sample_of, sparse_rows
+from gridlore.llm.features import SAMPLE_ROWS, SLOTS, Sample, adam, sample_of, sparse_rows
 from gridlore.llm.common import table
 
 #: Grades: 0 clean, 1 mild, 2 severe.
 GRADES = 3
-#: A text goes from this expected severity on. A mild text for sure has 1.
-REJECT_FROM = 0.5
-STEPS, RATE, DECAY = 150, 0.1, 2e-4
+#: A text goes from this expected severity on; a text that is surely mild has 1.
+REJECT_FROM = 0.25
+STEPS, RATE, DECAY = 150, 0.1, 1e-4
+#: Words count whose presence goes with the label by this likelihood ratio (about five standard deviations), in so many rows.
+LEAST_RATIO, LEAST_ROWS = 25.0, 5
 
 
 @dataclass
@@ -32,30 +34,44 @@ class OrdinalModel:
         return 1.0 / (1.0 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -50, 50)))
 
 
+def _marks(sample: Sample) -> tuple[np.ndarray, np.ndarray]:
+    """Slots tied to the label, and whether toxic rows have them more often than others."""
+    slots, which = np.unique(sample.slots, return_inverse=True)
+    toxic = (sample.labels == 1)[sample.rows]
+    n, n_bad = float(len(sample.labels)), float(sample.labels.sum())
+    rows, bad = np.bincount(which, minlength=len(slots)).astype(float), np.bincount(which[toxic], minlength=len(slots)).astype(float)
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12))
+
+    ratio = 2 * (part(bad, rows * n_bad / n) + part(rows - bad, rows * (n - n_bad) / n)
+                 + part(n_bad - bad, (n - rows) * n_bad / n) + part(n - n_bad - rows + bad, (n - rows) * (n - n_bad) / n))
+    keep = (ratio >= LEAST_RATIO) & (rows >= LEAST_ROWS)
+    return slots[keep], (bad * n > rows * n_bad)[keep]
+
+
 def grades_of(sample: Sample) -> np.ndarray:
     """Ordered grades from labels 0 and 1.
 
-    Words that toxic rows have far more often than others are marks; a toxic row with more distinct marks than
-    the median toxic row is severe. So the grades follow from the labels alone.
+    A toxic row with more distinct words tied to toxicity than the median toxic row is severe. So the grades follow from
+    the labels alone.
     """
     if not len(sample.labels) or sample.labels.min() == sample.labels.max():
         return sample.labels.copy()
-    toxic = sample.labels[sample.rows] == 1
-    slots, which = np.unique(sample.slots, return_inverse=True)
-    bad, all_rows = np.bincount(which[toxic], minlength=len(slots)), np.bincount(which, minlength=len(slots))
-    share = sample.labels.mean()
-    marks = (bad >= 3) & (bad > 0.5 * all_rows) & (bad > 3 * share * all_rows)
-    number = np.bincount(sample.rows[marks[which]], minlength=len(sample.labels))
+    slots, more = _marks(sample)
+    number = np.bincount(sample.rows[np.isin(sample.slots, slots[more])], minlength=len(sample.labels))
     middle = np.median(number[sample.labels == 1])
     return np.where(sample.labels == 0, 0, np.where(number > middle, 2, 1))
 
 
 def fit(sample: Sample, steps: int = STEPS) -> OrdinalModel:
-    """Maximum likelihood with weight decay. Without labelled rows, or with one label only, nothing counts as toxic."""
+    """Maximum likelihood with weight decay over the words tied to the label. Without labelled rows, or with one label only, nothing counts as toxic."""
     if not len(sample.labels) or sample.labels.min() == sample.labels.max():
         return OrdinalModel(np.zeros(SLOTS, np.float32), np.array([20.0, 40.0]))
     grades = grades_of(sample)
-    slots, row, column = compact(sample)
+    slots, _ = _marks(sample)
+    tied = np.isin(sample.slots, slots)
+    row, column = sample.rows[tied], np.searchsorted(slots, sample.slots[tied])
     n, width = len(grades), len(slots)
     present = np.arange(GRADES - 1)
 
