@@ -28,9 +28,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _are_stars(edges: DataFrame) -> bool:
-    if not edges.groupBy("u").count().filter("count > 1").isEmpty():
-        return False
-    return edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty()
+    """Whether every node points at one other, which points at none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("out")))
+    each = ends.groupBy("node").agg(F.sum("out").alias("out"), F.min("out").alias("least"))
+    return each.agg(F.count(F.when((F.col("out") > 1) | (F.col("out") > 0) & (F.col("least") == 0), 1))).first()[0] == 0
 
 
 def components(edges: DataFrame) -> DataFrame:
