@@ -10,7 +10,7 @@ from gridlore.plans import inputs
 from gridlore.plans.inputs import ANALYSIS_SQL, CATEGORY_SQL, CLEAN_SQL, FACTS_SQL, LINES_SQL, NORMAL_SQL, PROFILE_SQL, table
 from gridlore.plans.registry import query
 from gridlore.schema import FACT_COLUMNS, project
-from gridlore.sources.loaders import load_emissions, load_generation
+from gridlore.sources.loaders import load_emissions, load_generation, load_projects
 
 _ALL = ", ".join(FACT_COLUMNS)
 
@@ -84,6 +84,31 @@ def load_emissions_like(spark, folder):
     return load_emissions(rows, {"integrante": "equipo"}, first_year=1997).select(*_LOADED)
 
 
+@query("load_projects_like", """
+WITH sheet AS (
+  SELECT o_orderstatus AS region, CAST(year(o_orderdate) AS INTEGER) AS periodo, CAST(o_custkey AS VARCHAR) AS actor,
+         CASE o_orderkey % 3 WHEN 0 THEN 'Renovable' WHEN 1 THEN 'Almacenamiento' ELSE 'Otra' END AS categoria_energia,
+         CASE o_orderkey % 3 WHEN 0 THEN 'Solar Fotovoltaico' WHEN 1 THEN 'BESS' ELSE 'Otro' END AS tecnologia,
+         CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS item,
+         CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS power,
+         CAST(CASE WHEN o_orderkey % 7 = 0 THEN -o_custkey ELSE o_custkey END AS DOUBLE) AS storage FROM orders),
+measured AS (
+  SELECT *, power AS valor, 'potencia_neta' AS indicador, 'MW' AS unidad FROM sheet
+  UNION ALL SELECT *, storage, 'capacidad_almacenamiento', 'MWh' FROM sheet)
+SELECT region, periodo, categoria_energia, tecnologia, actor, item, valor, 'proyectos' AS dataset, indicador, unidad,
+       'equipo' AS integrante FROM measured WHERE valor > 0 AND item IS NOT NULL""")
+def load_projects_like(spark, folder):
+    key = F.col("o_orderkey")
+    sheet = table(spark, folder, "orders").select(
+        F.lit("proyectos").alias("dataset"), F.col("o_orderstatus").alias("ubicacion"),
+        F.col("o_orderdate").cast("string").alias("fecha_estimada_de_interconexion"),
+        F.when(key % 3 == 0, "Solar Fotovoltaico").when(key % 3 == 1, "BESS").otherwise("Otro").alias("tipo_de_tecnologia"),
+        F.col("o_custkey").cast("string").alias("propietario"), F.when(key % 11 != 0, key.cast("string")).alias("proyecto"),
+        F.when(key % 5 != 0, F.col("o_totalprice")).alias("potencia_neta_mw"),
+        F.when(key % 7 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("capacidad_de_almacenamiento_mwh"))
+    return load_projects(sheet, {"integrante": "equipo"}).select(*_LOADED)
+
+
 @query("unpivot_measures", """
 SELECT p_partkey, 'potencia_neta' AS indicador, 'MW' AS unidad, CAST(p_size AS DOUBLE) AS valor FROM part
 UNION ALL SELECT p_partkey, 'capacidad_almacenamiento', 'MWh', p_retailprice FROM part WHERE p_type <> 'SMALL'""")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeansModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from gridlore.operators import modeling, stats
@@ -85,6 +85,25 @@ def kmeans_persist_roundtrip(spark, folder):
         F.count("*").alias("filas"), F.count_if(F.col("prediction") != F.col("reloaded")).alias("distintas"))
 
 
+@query("kmeans_chosen_k", f"""
+WITH {PROFILE_SQL} SELECT count(*) AS filas, CAST(0 AS BIGINT) AS lejanas, CAST(0 AS BIGINT) AS vacios FROM profile""")
+def kmeans_chosen_k(spark, folder):
+    """Assignment at the k of the best silhouette: rows not at their nearest centre and clusters without rows, always 0."""
+    scaled = _scaled(spark, folder)
+    k = modeling.best_k(modeling.evaluate_k(scaled))
+    model = modeling.fit_kmeans(scaled, k)
+    point = vector_to_array("scaledFeatures")
+
+    def squared(centre):
+        parts = F.zip_with(point, F.array(*[F.lit(float(x)) for x in centre]), lambda a, b: (a - b) * (a - b))
+        return F.aggregate(parts, F.lit(0.0), lambda total, part: total + part)
+
+    placed = model.transform(scaled).withColumn("d", F.array(*[squared(c) for c in model.clusterCenters()]))
+    return placed.agg(
+        F.count("*").alias("filas"), F.count_if(F.col("d")[F.col("prediction")] > F.array_min("d") + 1e-9).alias("lejanas"),
+        (F.lit(k) - F.count_distinct("prediction")).cast("long").alias("vacios"))
+
+
 @query("pseudo_labels")
 def pseudo_labels(spark, folder):
     return stats.group_counts(modeling.pseudo_labels(_clustered(spark, folder)), ["label"])

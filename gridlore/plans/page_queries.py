@@ -81,6 +81,21 @@ def page_links_resolved(spark, folder):
     return pages.page_links(table(spark, folder, "pages"), ["page_id"])
 
 
+# these pages name no following page: the last entry of the navigation stands for it
+_NEXT = r'<li><a href="([^"]*)">[^<]*</a></li></ul>'
+
+
+@query("page_next_link", r"""
+SELECT page_id, CASE
+  WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
+  WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || href
+  ELSE regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') || href END AS siguiente
+FROM (SELECT page_id, url, regexp_extract(html, '<li><a href="([^"]*)">[^<]*</a></li></ul>', 1) AS href FROM pages
+      WHERE regexp_matches(html, '<li><a href="([^"]*)">[^<]*</a></li></ul>')) t""")
+def page_next_link(spark, folder):
+    return pages.next_links(table(spark, folder, "pages"), _NEXT, ["page_id"])
+
+
 @query("page_next_param", r"""
 SELECT page_id, pagina, regexp_replace(url, '([?&]page=)[0-9]+', '\1' || (pagina + 1)) AS siguiente
 FROM (SELECT page_id, url, try_cast(regexp_extract(url, '[?&]page=([0-9]+)', 1) AS INTEGER) AS pagina FROM pages) t
