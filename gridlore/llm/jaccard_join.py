@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from gridlore.llm.common import broadcast_bits, table, text_of
 from gridlore.llm.components import components
+from gridlore.llm.forests import contract
 from gridlore.llm.kernels import mix, shingle_sets
 from gridlore.session import materialize
 
@@ -313,7 +314,7 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     edges = materialize(_verified(near, _fetched(docs, near, known, n, seed), percent), "links")
 
     # a signature of two sets is done; of others only members of different components remain
-    found = materialize(components(edges), "components")
+    found = components(edges, contract)
     placed = materialize(members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
     split = placed.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"))
     split = materialize(split.filter("x <> y and m > 2").select("sig"), "unsettled-signatures")
@@ -323,9 +324,10 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                        & (F.col("a.component") != F.col("b.component")) & _can_link("a", "b", percent)
                        & _close(F.col("a.parity"), F.col("b.parity"), F.col("a.n") + F.col("b.n"), percent))
     second = materialize(second.select(*ordered[:2]).distinct().join(near, ["u", "v"], "left_anti"), "pairs")
-    edges = materialize(edges.unionByName(_verified(second, _fetched(docs, second, known, n, seed), percent)), "links")
-
-    found = materialize(components(edges), "components")
+    if not second.isEmpty():
+        more = materialize(_verified(second, _fetched(docs, second, known, n, seed), percent), "links")
+        found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), contract)
+        edges = edges.unionByName(more)
     ends = edges.select(F.col("u").alias("node")).unionByName(edges.select(F.col("v").alias("node")))
     degree = materialize(ends.groupBy("node").agg(F.count("*").alias("n_links")).join(found, "node"), "degrees")
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_key"))

@@ -94,7 +94,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, redirects:
     ends = links.select(F.col("url").alias("link")).unionByName(links.select(F.col("target").alias("link")))
     named = ends.filter(F.col("link").contains("://"))
     edges = links.select(address(F.col("url")).alias("u"), address(F.col("target")).alias("v")).na.drop()
-    classes = materialize(components(edges), "alias-classes")
+    classes = components(edges)
 
     verdicts = {rule: verdict for verdict, rule in rules}
     blocked_rules = [rule for rule, verdict in verdicts.items() if verdict == "block"]

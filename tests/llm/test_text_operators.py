@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridlore.llm import exact_dedup, jaccard_join, kernels, line_dedup, mixing, packing, quality_model, quality_rules, secrets, toxicity, url_filter
 from gridlore.llm.components import components
+from gridlore.llm.forests import contract, stars
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -239,12 +240,28 @@ def test_rules_and_aliases(spark):
     assert got[11][3] == "block"
 
 
-def test_components(spark):
+@pytest.mark.parametrize("settings", [{}, {"contract": contract}])
+def test_components(spark, settings):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 301), (301, 300)]
-    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long"), **settings).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}, 300: 300, 301: 300}
 
 
+def test_components_of_nothing(spark):
+    assert components(spark.createDataFrame([(7, 7)], "u long, v long"), contract).collect() == []
+
+
+def test_stars_connect_what_random_edges_do():
+    rng = np.random.default_rng(5)
+    for nodes in (2, 10, 300):
+        u, v = rng.integers(0, nodes, 200), rng.integers(0, nodes, 200)
+        group = {i: i for i in range(nodes)}
+        for a, b in zip(u.tolist(), v.tolist()):
+            x, y = group[a], group[b]
+            group = {i: min(x, y) if g in (x, y) else g for i, g in group.items()}
+        assert dict(zip(*(x.tolist() for x in stars(u, v)))) == {i: g for i, g in group.items() if i != g}
+
+
 def edits_by_force(x, y):
     row = list(range(len(y) + 1))
     for i, a in enumerate(x, 1):
