@@ -31,6 +31,8 @@ PARITY_BITS = 1024
 _CHUNK_BITS = 14
 #: Tokens of a full set per class of frequent tokens.
 _CLASS = 13
+#: Sets and tokens of a block of one component; two blocks are compared by a task, so many token columns at a time.
+_BLOCK_SETS, _BLOCK_TOKENS, _COLUMNS = 256, 250_000, 4096
 _PAIR = (np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -267,18 +269,73 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("u", "v", "x", "y").mapInArrow(run, "u long, v long")
 
 
-def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+def linked(xs: list[np.ndarray], ys: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sets ``xs`` link with which of ``ys``: a matrix of shared tokens, summed over blocks of columns."""
+    x_at, y_at = (np.repeat(np.arange(len(s)), [len(t) for t in s]) for s in (xs, ys))
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    common = np.intersect1d(x, y)
+    both = np.zeros((len(xs), len(ys)), dtype=np.int64)
+    for start in range(0, len(common), _COLUMNS):
+        part = common[start:start + _COLUMNS]
+        sides = []
+        for tokens, at, size in ((x, x_at, len(xs)), (y, y_at, len(ys))):
+            column = np.minimum(np.searchsorted(part, tokens), len(part) - 1)
+            here = part[column] == tokens
+            has = np.zeros((size, len(part)), dtype=np.float32)
+            has[at[here], column[here]] = 1
+            sides.append(has)
+        both += (sides[0] @ sides[1].T).astype(np.int64)
+    sizes = np.array([len(t) for t in xs])[:, None] + np.array([len(t) for t in ys])[None, :]
+    return (both > 0) & (100 * both >= percent * (sizes - both))
+
+
+def _degrees(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``node, n_links`` of all nodes of ``found``: links never leave a component, so all pairs of sets of one are compared.
+
+    A component is dealt by hash over blocks of a bounded number of sets and tokens. Every two blocks are one group of rows;
+    its pairs exist inside the task only, so rows grow with a component's sets times its blocks.
+    """
+    sizes = sets.select("node", (F.octet_length("tokens") / 8).cast("long").alias("n"))
+    placed = materialize(found.join(sizes, "node").select("node", "component", "n"), "placed")
+    parts = F.greatest(F.ceil(F.count("*") / _BLOCK_SETS), F.ceil(F.sum("n") / _BLOCK_TOKENS)).cast("long")
+    blocks = materialize(placed.groupBy("component").agg(F.count("*").alias("m"), parts.alias("blocks")), "blocks")
+    placed = placed.join(blocks, "component")
+    own = F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks"))
+    dealt = materialize(placed.filter("m > 2").select("node", "component", "blocks", own.alias("own")), "dealt")
+    other = dealt.select("node", "component", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    tiles = other.select("node", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+
+    def run(table: pa.Table) -> pa.Table:
+        own, low, high = (table[c].to_numpy() for c in ("own", "low", "high"))
+        tokens = [np.frombuffer(raw.as_buffer(), np.uint64) for raw in table["tokens"].combine_chunks()]
+        first, second = np.flatnonzero(own == low[0]), np.flatnonzero(own == high[0])
+        links = np.zeros(len(own), dtype=np.int64)
+        if len(first) and len(second):
+            met = linked([tokens[i] for i in first], [tokens[i] for i in second], percent)
+            if low[0] == high[0]:
+                np.fill_diagonal(met, False)
+            else:
+                links[second] = met.sum(axis=0)
+            links[first] = met.sum(axis=1)
+        return pa.table({"node": table["node"], "links": pa.array(links)})
+
+    counted = tiles.join(sets, "node").groupBy("component", "low", "high").applyInArrow(run, "node long, links long")
+    counted = materialize(counted, "tiles").groupBy("node").agg(F.sum("links").alias("n_links"))
+    return counted.unionByName(placed.filter("m = 2").select("node", F.lit(1).cast("long").alias("n_links")))
+
+
+def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, links: bool = True) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links, text_key, stays``, one row per row of ``docs`` (``doc_id, text``).
 
     Documents link when 100 * intersection >= ``percent`` * union of their distinct ``n``-word runs, A-Z lower-cased;
     fewer words are one run; without words or text a document links with nothing and is its own component.
-    ``component_id`` is the smallest id reachable by links; ``stays`` marks its row. ``n_links`` counts the found links of the document's set to
-    different sets, at least a spanning tree's: sets already connected are not compared again.
+    ``component_id`` is the smallest id reachable by links; ``stays`` marks its row. ``n_links`` counts all links of the document's set to
+    different sets; without ``links`` it is null.
 
     Equal sets are one node, told apart by a 64-bit digest; a second one of 64 bits shows collisions, upon which the digest
     changes. First every set meets the one of each shared signature that can share most tokens; then only sets of different
     components that meet in a signature are compared, all of them. Parity maps of 1,024 bits rule out most pairs before whole sets
-    are fetched; what they rule out cannot link.
+    are fetched; what they rule out cannot link. That settles the components; links are then counted over all pairs of sets of each.
     """
     docs = docs.select("doc_id", "text")
     for seed in range(1 << 20):
@@ -311,7 +368,8 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     near = first.join(parity.select(F.col("node").alias("u"), F.col("parity").alias("x")), "u").join(
         parity.select(F.col("node").alias("v"), F.col("parity").alias("y")), "v")
     near = materialize(near.filter(_close(F.col("x"), F.col("y"), F.col("sizes"), percent)).select("u", "v"), "pairs")
-    edges = materialize(_verified(near, _fetched(docs, near, known, n, seed), percent), "links")
+    sets = _fetched(docs, near, known, n, seed)
+    edges = materialize(_verified(near, sets, percent), "links")
 
     # a signature of two sets is done; of others only members of different components remain
     found = components(edges, contract)
@@ -325,20 +383,22 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                        & _close(F.col("a.parity"), F.col("b.parity"), F.col("a.n") + F.col("b.n"), percent))
     second = materialize(second.select(*ordered[:2]).distinct().join(near, ["u", "v"], "left_anti"), "pairs")
     if not second.isEmpty():
-        more = materialize(_verified(second, _fetched(docs, second, known, n, seed), percent), "links")
+        others = _fetched(docs, second, known, n, seed)
+        more = materialize(_verified(second, others, percent), "links")
         found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), contract)
-        edges = edges.unionByName(more)
-    ends = edges.select(F.col("u").alias("node")).unionByName(edges.select(F.col("v").alias("node")))
-    degree = materialize(ends.groupBy("node").agg(F.count("*").alias("n_links")).join(found, "node"), "degrees")
+        sets = sets.unionByName(others.join(sets, "node", "left_anti"))
+    count = _degrees(found, sets, percent) if links else found.select("node", F.lit(None).cast("long").alias("n_links"))
+    degree = materialize(found.join(count, "node"), "degrees")
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_key"))
     each = nodes.filter("n > 0").withColumnRenamed("d1", "node").join(degree, "node", "left").select(
-        "doc_id", "text_key", "n", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "doc_id", "text_key", "n", F.coalesce("component", "node").alias("component"),
+        (F.coalesce("n_links", F.lit(0)) if links else F.col("n_links")).alias("n_links"))
     each = materialize(each, "documents")
     least = materialize(each.groupBy("component").agg(F.min(place).alias("first")), "least")
     linked = each.join(least, "component").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("component_id"), "n_links", "text_key", (place == F.col("first")).alias("stays"))
     alone = nodes.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-                                         F.lit(0).cast("long").alias("n_links"), "text_key", F.lit(True).alias("stays"))
+                                         F.lit(0 if links else None).cast("long").alias("n_links"), "text_key", F.lit(True).alias("stays"))
     return linked.unionByName(alone)
 
 
@@ -347,7 +407,7 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFram
 
     The smallest id stays, null last, then the smallest hash of the text. Rows repeated with their id and text stay or go together.
     """
-    classes = jaccard_classes(docs, n, percent)
+    classes = jaccard_classes(docs, n, percent, links=False)
     gone = materialize(classes.filter("not stays").select("doc_id", "text_key").distinct(), "near-copies")
     same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.xxhash64(F.coalesce(F.col("d.text"), F.lit(""))) == F.col("g.text_key"))
     return docs.alias("d").join(gone.alias("g"), same, "left_anti")

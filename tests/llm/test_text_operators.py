@@ -67,6 +67,29 @@ def test_jaccard_classes(spark, odd_texts, n, percent):
     assert all(r["stays"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+@pytest.mark.parametrize("blocks", [(256, 250_000), (3, 250_000), (256, 300)])
+def test_every_link_counts(spark, monkeypatch, blocks):
+    """Groups of distinct near copies, chains among them: n_links is that of brute force, in one block and in several."""
+    monkeypatch.setattr(jaccard_join, "_BLOCK_SETS", blocks[0])
+    monkeypatch.setattr(jaccard_join, "_BLOCK_TOKENS", blocks[1])
+    rng = np.random.default_rng(13)
+    texts = []
+    for size, copies in ((100, 3), (150, 12), (200, 9)):
+        base = words_of(rng, size)
+        for i in range(copies):
+            copy = list(base)
+            for at in rng.integers(0, size, i % 4):
+                copy[at] = f"y{i}"
+            texts += [" ".join(copy + [f"z{i}"])] * (1 + i % 2)
+    chain = words_of(rng, 160)
+    texts += [" ".join(chain[8 * i:100 + 8 * i]) for i in range(6)] + [" ".join(words_of(rng, 50)), "", None]
+    sets = [frozenset(zip(*[(t or "").split()[i:] for i in range(4)])) for t in texts]
+    distinct = set(sets) - {frozenset()}
+    expected = [sum(s != o and bool(s) and 100 * len(s & o) >= 85 * len(s | o) for o in distinct) for s in sets]
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.jaccard_classes(documents(spark, texts)).collect()}
+    assert got == dict(enumerate(expected)) and max(expected) >= 8
+
+
 def test_jaccard_frequent_tokens(spark, odd_texts, monkeypatch):
     """With every token frequent, pairs of tokens alone must find all links."""
     real = jaccard_join.signatures
