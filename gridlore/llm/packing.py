@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
@@ -35,7 +37,26 @@ def _tokenizer(path: str | None):
 
     with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), {}
+    return tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), ({}, {})
+
+
+@lru_cache(maxsize=1)
+def _added() -> tuple[dict[bytes, int], re.Pattern[bytes]]:
+    """Added tokens of ``byte_bpe_50k.json`` with their ids, and a pattern that finds the longest at a place."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        ids = {token["content"].encode(): token["id"] for token in json.load(file)["added_tokens"]}
+    return ids, re.compile(b"|".join(re.escape(token) for token in sorted(ids, key=len, reverse=True)) or b"(?!)")
+
+
+def _added_edges(span: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where added tokens start and end inside the rows."""
+    raw, find = span.tobytes(), _added()[1]
+    if not find.search(raw):
+        return np.zeros(0, np.int64)
+    edges = [edge for a, b in zip(at[:-1].tolist(), at[1:].tolist()) for m in find.finditer(raw, a, b) for edge in m.span()]
+    return np.array([edge for edge in edges if edge < len(raw)], dtype=np.int64)
 
 
 def _starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -54,13 +75,19 @@ def _starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut[:-1])
 
 
-def token_rows(column: pa.Array, path: str | None = None) -> Iterator[np.ndarray]:
-    """The ids of every row as unsigned 32-bit numbers, closed by id 0. Distinct words of a block are encoded once."""
-    encoding, cache = _tokenizer(path)
+def token_rows(column: pa.Array, path: str | None = None, added: bool = False) -> Iterator[np.ndarray]:
+    """The ids of every row as unsigned 32-bit numbers, closed by id 0. Distinct words of a block are encoded once.
+
+    With ``added`` the strings of added tokens get their own ids, as the tokenizer gives by default; else they are ordinary text.
+    """
+    encoding, caches = _tokenizer(path)
+    cache, own = caches[added], _added()[0] if added else {}
     data, offsets = byte_rows(column)
     for first, end in row_blocks(offsets, BLOCK_BYTES):
         span, at = data[offsets[first]:offsets[end]], offsets[first:end + 1] - offsets[first]
         starts = _starts(span, at)
+        if added:
+            starts = np.union1d(starts, _added_edges(span, at))
         ends = np.append(starts[1:], len(span))
         counts, ids, done = [], [], 0
         while done < len(starts):
@@ -76,8 +103,9 @@ def token_rows(column: pa.Array, path: str | None = None) -> Iterator[np.ndarray
             raw = piece.tobytes()
             for i, value in enumerate(values):
                 if value is None:
-                    word = raw[some[where[i]]:their_ends[where[i]]].decode("utf-8", "replace")
-                    values[i] = cache[keys[i]] = np.array(encoding.encode_ordinary(word), dtype="<u4").tobytes()
+                    word = raw[some[where[i]]:their_ends[where[i]]]
+                    found = [own[word]] if word in own else encoding.encode_ordinary(word.decode("utf-8", "replace"))
+                    values[i] = cache[keys[i]] = np.array(found, dtype="<u4").tobytes()
             lengths = np.array([len(value) >> 2 for value in values], dtype=np.int64)
             flat = np.frombuffer(b"".join(values), dtype="<u4")
             each = lengths[which]
@@ -103,7 +131,7 @@ def pieces(docs: DataFrame, tokens: int = TOKENS, path: str | None = None, with_
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, ids in zip(batch.column(0).to_pylist(), token_rows(batch.column(1), path), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), token_rows(batch.column(1), path, added=True), strict=True):
                 head = len(ids) % tokens or tokens
                 cuts = [0, *range(min(head, len(ids)), len(ids) + 1, tokens)]
                 for number, (a, b) in enumerate(zip(cuts, cuts[1:])):

@@ -203,6 +203,19 @@ def test_tokens_equal_the_tokenizer():
     assert [x.tolist() for x in packing.token_rows(pa.array([*texts, None]))] == [*expected, [0]]
 
 
+def test_added_tokens_have_their_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", "a  <|endoftext|>  b", "<|endof", "text|> <|endoftext|",
+             "日<|endoftext|>'s \xa0<|endoftext|>", "no such token here"]
+    expected = [e.ids + [0] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in packing.token_rows(pa.array(texts), added=True)] == expected
+    rows = packing.pack_documents(documents(spark, texts), with_ids=True).collect()
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in rows} == dict(enumerate(expected))
+
+
 @pytest.mark.parametrize("by", ["norm", "dot"])
 def test_best_fit_holds_every_capacity(by):
     rng = np.random.default_rng(2)
