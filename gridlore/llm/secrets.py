@@ -20,10 +20,13 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "guess")
 
-#: Words that announce a credential, and its value up to white space or a quote.
+#: Words that announce a credential, at the start of a word or of a part of a camelCase name, a scheme word that may follow, and
+#: the value up to white space or a quote.
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z])(?:password|passwd|passphrase|passcode|pwd|pass|secret|token|api[_-]?key|access[_-]?key|private[_-]?key"""
-    r"""|client[_-]?secret|credential|credentials|auth|bearer)["']?\x20*(?:[:=]|\x20is\x20)\x20*["']?([^\x20\x09-\x0D"'<>,;]+)""",
+    r"""(?:(?<![A-Za-z])|(?-i:(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])))"""
+    r"""(?:(?:password|passwd|passphrase|passcode|pwd|pass|secret|token|api[_-]?key|access[_-]?key|private[_-]?key"""
+    r"""|client[_-]?secret|credential|credentials|(?P<auth>auth|authorization)|bearer)["']?\x20*(?:[:=]|\x20is\x20)\x20*["']?"""
+    r"""(?:bearer\x20+|(?(auth)basic\x20+|(?!)))?|bearer\x20+["']?)(?P<value>[^\x20\x09-\x0D"'<>,;]+)""",
     re.IGNORECASE | re.ASCII)
 _HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer")
 
@@ -110,7 +113,7 @@ def find_spans(text: str, least_guesses: float = LEAST_GUESSES) -> list[tuple[st
     lower = text.lower()
     if any(hint in lower for hint in _HINTS):
         spans += [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_ASSIGN]
-        spans += [("guess", *m.span(1)) for m in CONTEXT.finditer(text) if guess_cost(m[1]) >= least_guesses]
+        spans += [("guess", *m.span("value")) for m in CONTEXT.finditer(text) if guess_cost(m["value"]) >= least_guesses]
     if "AKIA" in text:
         spans += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
     spans += [("hex", *m.span()) for m in HEX.finditer(text)]
