@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridlore.llm.common import table
+from gridlore.llm.common import table, text_of
 
 # The patterns of the base spans, their least lengths and their order.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -34,6 +35,11 @@ _HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer
 LEAST_GUESSES = 10.0
 #: Longest span other than brute force, repeats and walks.
 LONGEST = 24
+#: Words of a corpus in its dictionary at most, and the texts that must have a word; one row of copies is no evidence.
+DICTIONARY, LEAST_TEXTS = 50_000, 3
+#: A credential word with what follows it up to the end of its value, for Java: such values never enter the dictionary.
+_VALUE = (r"(?i)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|key|credentials?|auth(?:orization)?|bearer)[\"']?\x20*(?:[:=]|\x20is\x20|\x20)\x20*[\"']?"
+          r"(?:(?:bearer|basic)\x20+)?[^\x20\x09-\x0D\"'<>,;]+")
 #: Common words and passwords, the commonest first: a word costs its rank.
 WORDS = (
     "password the and you for that this with your have from admin login user test guest root secret token key access private public "
@@ -73,13 +79,36 @@ def _alphabet(value: str) -> float:
     return math.log10(max(size, 10))
 
 
-def guess_cost(value: str) -> float:
+def corpus_words(docs: DataFrame, limit: int = DICTIONARY, least: int = LEAST_TEXTS) -> dict[str, float]:
+    """The commonest words of ``docs`` by the number of distinct texts, and log10 of their ranks; at most ``limit``.
+
+    Words are runs of 3 to ``LONGEST`` letters outside the values beside credential words, so a repeated secret is none.
+    """
+    prose = F.regexp_replace(text_of(), _VALUE, " ")
+    found = F.array_distinct(F.split(F.lower(prose), r"[^\p{L}]+"))
+    texts = docs.select(F.xxhash64(text_of()).alias("text_key"), found.alias("words"))
+    each = texts.select("text_key", F.explode("words").alias("word")).filter(F.length("word").between(3, LONGEST))
+    # the bits of 64 hashed places: so many texts at least, and copies count once
+    place = F.expr("shiftleft(1L, cast(pmod(text_key, 64) as int))")
+    counted = each.groupBy("word").agg(F.count("*").alias("n"), F.bit_count(F.bit_or(place)).alias("texts"))
+    top = counted.filter(F.col("texts") >= least).orderBy(F.desc("n"), "word").limit(limit).select("word").collect()
+    return {row["word"]: math.log10(2 + i) for i, row in enumerate(top)}
+
+
+def _with(known: Mapping[str, float]) -> dict[str, float]:
+    """The fixed words and ``known``, each at its smaller cost."""
+    return {**known, **{word: min(cost, known.get(word, cost)) for word, cost in _ranks().items()}}
+
+
+def guess_cost(value: str, ranks: Mapping[str, float] | None = None) -> float:
     """log10 of the guesses for the cheapest way to cut ``value`` into words, dates, repeats, keyboard walks and brute force.
 
     Costs of spans add; every span beyond the first costs a factor of two. Runs of one character and walks cost their first
-    character and length. Time and memory grow with the length times ``LONGEST``.
+    character and length. ``ranks`` has the words' costs, the fixed list's unless given. Time and memory grow with the length
+    times ``LONGEST``.
     """
-    lower, ranks, near, each = value.lower(), _ranks(), _neighbours(), _alphabet(value)
+    lower, near, each = value.lower(), _neighbours(), _alphabet(value)
+    ranks = _ranks() if ranks is None else ranks
     n = len(value)
     best = [0.0] + [math.inf] * n
     brute = [0.0] + [math.inf] * n  # best that ends in brute force, which goes on at no extra cost
@@ -107,13 +136,13 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
-def find_spans(text: str, least_guesses: float = LEAST_GUESSES) -> list[tuple[str, int, int]]:
+def find_spans(text: str, least_guesses: float = LEAST_GUESSES, ranks: Mapping[str, float] | None = None) -> list[tuple[str, int, int]]:
     """``kind, start, end`` in code points, by start, then by the order of ``KINDS``; the end is exclusive."""
     spans: list[tuple[str, int, int]] = []
     lower = text.lower()
     if any(hint in lower for hint in _HINTS):
         spans += [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_ASSIGN]
-        spans += [("guess", *m.span("value")) for m in CONTEXT.finditer(text) if guess_cost(m["value"]) >= least_guesses]
+        spans += [("guess", *m.span("value")) for m in CONTEXT.finditer(text) if guess_cost(m["value"], ranks) >= least_guesses]
     if "AKIA" in text:
         spans += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
     spans += [("hex", *m.span()) for m in HEX.finditer(text)]
@@ -125,11 +154,16 @@ def listed(spans: Iterable[tuple[str, int, int]]) -> str:
 
 
 def scan(docs: DataFrame, least_guesses: float = LEAST_GUESSES) -> DataFrame:
-    """``doc_id`` with ``spans``, an array of ``kind, start, end``, one row per row; a null or empty text has none."""
+    """``doc_id`` with ``spans``, an array of ``kind, start, end``, one row per row; a null or empty text has none.
+
+    The commonest words of ``docs`` join the fixed ones, so prose beside a credential word costs few guesses.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_with(corpus_words(docs)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = shared.value
         for batch in batches:
-            found = [[{"kind": k, "start": s, "end": e} for k, s, e in find_spans(text.as_py() or "", least_guesses)] for text in batch.column(1)]
+            found = [[{"kind": k, "start": s, "end": e} for k, s, e in find_spans(text.as_py() or "", least_guesses, ranks)] for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], names=["doc_id", "spans"])
 
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -138,8 +172,6 @@ def scan(docs: DataFrame, least_guesses: float = LEAST_GUESSES) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     def of(*kinds: str):
         return F.filter("spans", lambda s: s["kind"].isin(*kinds))
 

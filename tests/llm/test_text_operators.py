@@ -361,6 +361,19 @@ def test_credential_contexts(text, value):
     assert not [s for s in secrets.find_spans("compassword: $Kq9!vTz#41m, auth: Bearer") if s[0] == "guess"]
 
 
+def test_prose_beside_credential_words(spark):
+    """Words of the corpus cost their rank; a secret stays one, however often it is repeated."""
+    prose = ["it is required and available here", "the persistence is required, not available", "available persistence or required"]
+    texts = [f"{p} number {i}" for i in range(10) for p in prose] + ["a row of copies has rxkqzvplmtw"] * 9
+    values = ["password is required", "the token is available", "The secret is persistence"]
+    kept = ["password is rxkqzvplmtw", "the token is qjxzvkwpyfb", "pwd = x9$Kq!vT3#"]
+    copies = [f"{kept[1]} {i}" for i in range(30)]
+    got = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secrets.scan(documents(spark, texts + values + kept + copies)).collect()}
+    first = len(texts)
+    assert [got[first + i] for i in range(3)] == [[], [], []]
+    assert [got[first + i] for i in range(3, 36)] == [["guess"]] * 33
+
+
 def test_shingles_by_block(monkeypatch):
     rng = np.random.default_rng(6)
     texts = [" ".join(words_of(rng, int(k))) for k in (0, 1, 3, 4, 500, 2000)] + [None, "a" * 3000, "\n x \x0b y"]
