@@ -327,6 +327,19 @@ def test_fuzzy_lines(spark):
     assert clean == {0: texts[0], 1: "first", 2: "", 3: texts[3], 4: None, 5: ""}
 
 
+def test_short_lines_and_scripts_without_spaces(spark):
+    chinese = "这是一个没有空格的很长的段落每个字都算作一个词所以整行可以比较"
+    texts = ["Skip to main content\nRead more\n\n---", "read more!\nother words\n\n---\nskip  to main content", "Read more\nRead more", "日本\n" + chinese,
+             chinese + "\n日本\nสวัสดี", None, ""]
+    docs = documents(spark, texts)
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.line_groups(docs, short_copies=True).collect()}
+    assert [got[i] for i in range(7)] == [[], [0, 4], [0, 1], [], [0, 1], [], []]
+    stay = {r["doc_id"]: r["removed"] for r in line_dedup.line_groups(docs).collect()}
+    assert [stay[i] for i in range(7)] == [[], [], [], [], [0], [], []]
+    words = [int(n[3] - n[2]) for _, _, _, lines in line_dedup._lines(pa.array([chinese, "สวัสดี", "日本 two words", "é à"])) for n in lines]
+    assert words == [len(chinese), 6, 4, 2]
+
+
 def test_simhash_blocks_find_every_near_pair(spark):
     rng = np.random.default_rng(11)
     base = int(rng.integers(0, 2**62))
