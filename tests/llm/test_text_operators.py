@@ -327,6 +327,34 @@ def test_fuzzy_lines(spark):
     assert clean == {0: texts[0], 1: "first", 2: "", 3: texts[3], 4: None, 5: ""}
 
 
+@pytest.mark.parametrize("vocabulary, frequent", [(3000, False), (400, True)])
+def test_every_similar_line_is_found(spark, vocabulary, frequent):
+    """Lines of 5 to 100 words with as many edits as the limit allows, rare words and frequent ones: groups as by brute force."""
+    rng = np.random.default_rng(14)
+    lines = []
+    for size in (5, 6, 9, 10, 20, 27, 30, 60, 100):
+        for _ in range(12):
+            line = words_of(rng, size, vocabulary)
+            copy = list(line)
+            for _ in range(size // 5):
+                at = int(rng.integers(0, len(copy)))
+                kind = rng.integers(0, 4)
+                copy[at:at + 1] = [] if kind == 0 else [copy[at], "more"] if kind == 1 else [f"w{rng.integers(0, vocabulary)}"]
+            lines += [line, copy]
+    lines = [[w.translate(str.maketrans("0123456789", "abcdefghij")) for w in line] for line in lines]
+    group = list(range(len(lines)))
+    for i, x in enumerate(lines):
+        for j, y in enumerate(lines[:i]):
+            most = max(len(x), len(y)) // 5
+            if min(len(x), len(y)) >= 5 and abs(len(x) - len(y)) <= most and edits_by_force(x, y) <= most:
+                group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+    docs = documents(spark, [" ".join(line) for line in lines] + ([" ".join(words_of(rng, 40, 400)).translate(
+        str.maketrans("0123456789", "abcdefghij")) for _ in range(500)] if frequent else []))
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.line_groups(docs, every=True).collect()}
+    assert [got[i] for i in range(len(lines))] == [[0] if g < i else [] for i, g in enumerate(group)]
+    assert sum(g < i for i, g in enumerate(group)) > 80
+
+
 def test_short_lines_and_scripts_without_spaces(spark):
     chinese = "这是一个没有空格的很长的段落每个字都算作一个词所以整行可以比较"
     texts = ["Skip to main content\nRead more\n\n---", "read more!\nother words\n\n---\nskip  to main content", "Read more\nRead more", "日本\n" + chinese,
