@@ -53,7 +53,7 @@ def test_every_window_is_filled_as_by_force(spark, monkeypatch, tree, block):
 
 def test_scores_beyond_doubles_are_exact(spark):
     rows = clustered(160, 8, 2)
-    rows = [(i, label, [x * 3e6 for x in v]) for i, label, v in rows]
+    rows = [(i, label, [float(np.float32(x * 3e6)) for x in v]) for i, label, v in rows]
     assert sorted(tuple(r) for r in h.hard_negatives(table_of(spark, rows)).collect()) == force(rows)
 
 
