@@ -19,6 +19,7 @@ _OPERATORS = {
     "op8_exact_dedup": "exact_dedup",
     "op9_secret_scan": "secrets",
     "op10_quality_classifier": "quality_model",
+    "op11_cross_tokenizer_alignment": "cross_align",
     "op12_hard_negatives": "hard_negatives",
     "op13_orc_tokens": "token_files",
 }
