@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridlore.operators import pages
+from gridlore.operators.chains import page_chains as follow
 from gridlore.plans.inputs import table
 from gridlore.plans.registry import query
 
@@ -96,6 +98,76 @@ def page_next_link(spark, folder):
     return pages.next_links(table(spark, folder, "pages"), _NEXT, ["page_id"])
 
 
+_CHAIN_SQL = """
+landed AS (SELECT l.pagina, l.siguiente, CASE WHEN l.siguiente IS NULL THEN 'fin' WHEN n.pagina IS NULL THEN 'ausente' ELSE 'sigue' END AS estado
+           FROM links l LEFT JOIN (SELECT pagina FROM links) n ON l.siguiente = n.pagina),
+reach(inicio, pagina) AS (SELECT pagina, siguiente FROM landed WHERE estado = 'sigue'
+                          UNION SELECT r.inicio, l.siguiente FROM reach r JOIN landed l ON r.pagina = l.pagina AND l.estado = 'sigue'),
+closed AS (SELECT inicio, min(pagina) AS ciclo, min(inicio) OVER (PARTITION BY min(pagina)) AS x FROM reach
+           WHERE inicio IN (SELECT inicio FROM reach r WHERE r.inicio = r.pagina) GROUP BY inicio),
+fed AS (SELECT c.ciclo FROM landed l JOIN closed c ON l.siguiente = c.inicio AND l.estado = 'sigue' WHERE l.pagina NOT IN (SELECT inicio FROM closed)),
+starts AS (SELECT pagina AS inicio FROM landed
+           WHERE pagina NOT IN (SELECT siguiente FROM landed WHERE estado = 'sigue' AND siguiente <> pagina)
+           UNION SELECT ciclo FROM closed WHERE ciclo NOT IN (SELECT ciclo FROM fed)),
+walk(inicio, posicion, pagina, visto) AS (
+  SELECT inicio, 0, inicio, [inicio] FROM starts
+  UNION ALL SELECT w.inicio, w.posicion + 1, l.siguiente, list_append(w.visto, l.siguiente)
+  FROM walk w JOIN landed l ON w.pagina = l.pagina AND l.estado = 'sigue'
+  WHERE NOT list_contains(w.visto, l.siguiente) AND w.posicion + 1 < {limit})
+SELECT w.inicio, CAST(w.posicion AS INTEGER) AS posicion, w.pagina,
+       CASE WHEN w.posicion < max(w.posicion) OVER (PARTITION BY w.inicio) THEN NULL WHEN l.estado <> 'sigue' THEN l.estado
+            WHEN list_contains(w.visto, l.siguiente) THEN 'ciclo' ELSE 'limite' END AS termina
+FROM walk w JOIN landed l ON w.pagina = l.pagina
+"""
+
+# listings laid over the given pages: those of one site and folder in the order of their addresses. The last page of a listing
+# of four or more pages leads back to its first, or into its middle, by the number of pages
+_LISTING = r"^[a-zA-Z]+://([^/?#]*/[^/?#]*)"
+_LISTING_SQL = r"""WITH RECURSIVE
+placed AS (SELECT url, row_number() OVER w AS n, count(*) OVER (PARTITION BY regexp_extract(url, '^[a-zA-Z]+://([^/?#]*/[^/?#]*)', 1)) AS total,
+                  lead(url) OVER w AS following, regexp_extract(url, '^[a-zA-Z]+://([^/?#]*/[^/?#]*)', 1) AS listado
+           FROM pages WINDOW w AS (PARTITION BY regexp_extract(url, '^[a-zA-Z]+://([^/?#]*/[^/?#]*)', 1) ORDER BY url)),
+links AS (SELECT p.url AS pagina, coalesce(p.following, b.url) AS siguiente FROM placed p
+          LEFT JOIN placed b ON p.following IS NULL AND p.total >= 4 AND p.listado = b.listado AND b.n = 1 + (p.total % 3)),"""
+
+
+def _listings(spark, folder):
+    rows = table(spark, folder, "pages").select("url", F.regexp_extract("url", _LISTING, 1).alias("listado"))
+    order = Window.partitionBy("listado").orderBy("url")
+    placed = rows.select("url", "listado", F.row_number().over(order).alias("n"), F.lead("url").over(order).alias("following"))
+    ends = placed.filter("following IS NULL AND n >= 4").select("listado", (1 + F.col("n") % 3).alias("n"), F.lit(True).alias("_end"))
+    back = placed.join(ends, ["listado", "n"]).select("listado", F.col("url").alias("back"))
+    return placed.join(back, "listado", "left").select(
+        F.col("url").alias("pagina"), F.coalesce("following", "back").alias("siguiente"))
+
+
+@query("page_chains", _LISTING_SQL + _CHAIN_SQL.format(limit=3))
+def page_chains(spark, folder):
+    """Every start page with its pages in order, up to the page limit."""
+    return follow(_listings(spark, folder))
+
+
+@query("page_chains_whole", _LISTING_SQL + _CHAIN_SQL.format(limit=1_000_000))
+def page_chains_whole(spark, folder):
+    """Whole chains, up to their end or to the page they have been at before."""
+    return follow(_listings(spark, folder), limit=None)
+
+
+@query("page_chains_markup", r"""WITH RECURSIVE
+links AS (SELECT url AS pagina, CASE
+            WHEN href IS NULL OR regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
+            WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || href
+            ELSE regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') || href END AS siguiente
+          FROM (SELECT url, CASE WHEN regexp_matches(html, '<li><a href="([^"]*)">[^<]*</a></li></ul>')
+                                 THEN regexp_extract(html, '<li><a href="([^"]*)">[^<]*</a></li></ul>', 1) END AS href FROM pages) t),
+""" + _CHAIN_SQL.format(limit=3))
+def page_chains_markup(spark, folder):
+    """Chains along the next links of the landed markup; pages whose next page was not landed say so."""
+    every = table(spark, folder, "pages")
+    named = pages.next_links(every, _NEXT, ["url"]).select(F.col("url").alias("pagina"), "siguiente")
+    return follow(every.select(F.col("url").alias("pagina")).join(named, "pagina", "left"))
+
+
 @query("page_next_param", r"""
 SELECT page_id, pagina, regexp_replace(url, '([?&]page=)[0-9]+', '\1' || (pagina + 1)) AS siguiente
 FROM (SELECT page_id, url, try_cast(regexp_extract(url, '[?&]page=([0-9]+)', 1) AS INTEGER) AS pagina FROM pages) t
