@@ -6,7 +6,7 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from gridlore.operators import modeling, stats
+from gridlore.operators import model_tables, modeling, stats
 from gridlore.operators.dbscan import dbscan
 from gridlore.operators.profiles import MODEL_FEATURES, PROFILE_KEY
 from gridlore.plans import inputs
@@ -156,6 +156,100 @@ def model_leaderboard(spark, folder):
     return modeling.leaderboard(*_split(spark, folder))
 
 
+def _labelled(spark, folder):
+    """All labelled profiles and their split; one K-means fit for all three."""
+    labelled = materialize(modeling.pseudo_labels(_clustered(spark, folder)), "labelled")
+    return labelled, *modeling.split_labelled(labelled, PROFILE_KEY)
+
+
+def _by_descent(spark, folder, name: str):
+    labelled, train, _ = _labelled(spark, folder)
+    model = modeling.classifiers()[name].fit(train)
+    nodes = materialize(model_tables.node_table(spark, model), "nodes")
+    ours = model_tables.predict_by_nodes(labelled, nodes, PROFILE_KEY, "descenso", depth=5)
+    return model.transform(labelled).join(ours, list(PROFILE_KEY), "left"), nodes, train
+
+
+_KEYS_SQL = f"WITH {PROFILE_SQL} SELECT {', '.join(PROFILE_KEY)}, true AS igual FROM profile"
+
+
+@query("clf_tree_descent", _KEYS_SQL)
+def clf_tree_descent(spark, folder):
+    """Whether the node table's descent gives each profile the class the decision tree gives it: always true."""
+    scored, _, _ = _by_descent(spark, folder, "decision_tree")
+    return scored.select(*PROFILE_KEY, F.col("prediction").eqNullSafe(F.col("descenso")).alias("igual"))
+
+
+@query("clf_forest_descent", _KEYS_SQL)
+def clf_forest_descent(spark, folder):
+    """As ``clf_tree_descent``, with the votes of all trees of the random forest."""
+    scored, _, _ = _by_descent(spark, folder, "random_forest")
+    return scored.select(*PROFILE_KEY, F.col("prediction").eqNullSafe(F.col("descenso")).alias("igual"))
+
+
+@query("clf_tree_nodes_sound", f"""
+WITH {PROFILE_SQL} SELECT count(*) AS filas, CAST(0 AS BIGINT) AS hojas, CAST(0 AS BIGINT) AS sumas, CAST(0 AS BIGINT) AS impurezas,
+       CAST(0 AS BIGINT) AS ganancias FROM profile""")
+def clf_tree_nodes_sound(spark, folder):
+    """Counts nodes whose rows, class counts, impurity or gain do not follow from the training rows: always 0."""
+    scored, nodes, train = _by_descent(spark, folder, "decision_tree")
+    faults = model_tables.node_faults(nodes, model_tables.descend(train.select(*PROFILE_KEY, "scaledFeatures"), nodes, depth=5))
+    return faults.select(F.lit(scored.count()).alias("filas"), "*")
+
+
+@query("clf_linear_weights", f"""
+WITH {PROFILE_SQL} SELECT modelo, {', '.join(PROFILE_KEY)}, true AS igual FROM profile, (VALUES ('logistic'), ('svm_one_vs_rest')) m(modelo)""")
+def clf_linear_weights(spark, folder):
+    """Whether the greatest margin under the fitted weights is each profile's class in both linear models: always true."""
+    labelled, train, _ = _labelled(spark, folder)
+    out = None
+    for name in ("logistic", "svm_one_vs_rest"):
+        model = modeling.classifiers()[name].fit(train)
+        same = F.col("prediction").eqNullSafe(model_tables.predict_by_weights(model_tables.weight_rows(model)))
+        rows = model.transform(labelled).select(F.lit(name).alias("modelo"), *PROFILE_KEY, same.alias("igual"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("model_leaderboard_checked", """
+SELECT * FROM (VALUES ('decision_tree', true, true), ('logistic', true, true), ('random_forest', true, true), ('svm_one_vs_rest', true, true))
+AS t(modelo, igual, mejor_que_azar)""")
+def model_leaderboard_checked(spark, folder):
+    """The leaderboard's accuracies against those of the models scored as tables, and against the most frequent class."""
+    _, train, test = _labelled(spark, folder)
+    common = train.groupBy("label").count().orderBy(F.desc("count"), "label").first()["label"]
+    floor = test.agg(F.avg((F.col("label") == common).cast("double"))).first()[0]
+    rows = []
+    for name in modeling.classifiers():
+        model, _, accuracy = modeling.fit_classifier(name, train, test)
+        if name in ("decision_tree", "random_forest"):
+            ours = model_tables.predict_by_nodes(test, model_tables.node_table(spark, model), PROFILE_KEY, "prediction", depth=5)
+            scored = test.join(ours, list(PROFILE_KEY), "left")
+        else:
+            scored = test.withColumn("prediction", model_tables.predict_by_weights(model_tables.weight_rows(model)))
+        found = stats.accuracy(scored, "label", "prediction").first()[0]
+        rows.append((name, abs(found - accuracy) < 1e-12, accuracy > floor))
+    return spark.createDataFrame(rows, "modelo string, igual boolean, mejor_que_azar boolean")
+
+
+@query("pca_checked", """
+SELECT componente, true AS unitario, true AS ortogonal, true AS varianza_igual FROM (VALUES ('PC1'), ('PC2')) t(componente)""")
+def pca_checked(spark, folder):
+    """Loadings of length 1 and at right angles, and each component's share equal to its scores' variance over that of all features."""
+    scaled = _scaled(spark, folder)
+    model = modeling.fit_pca(scaled)
+    pc = model.pc.toArray()
+    x = vector_to_array("scaledFeatures")
+    spread = scaled.select(*[x[i].alias(f"x{i}") for i in range(pc.shape[0])]).agg(
+        sum(F.var_samp(f"x{i}") for i in range(pc.shape[0])).alias("total")).first()["total"]
+    scores = modeling.add_pca(scaled, model).agg(*[F.var_samp(f"PC{i + 1}").alias(f"PC{i + 1}") for i in range(pc.shape[1])]).first()
+    cross = pc.T @ pc
+    return spark.createDataFrame([
+        (f"PC{i + 1}", bool(abs(cross[i, i] - 1) < 1e-9), bool(max(abs(cross[i, j]) for j in range(len(cross)) if j != i) < 1e-9),
+         bool(abs(scores[i] / spread - model.explainedVariance[i]) < 1e-9)) for i in range(pc.shape[1])],
+        "componente string, unitario boolean, ortogonal boolean, varianza_igual boolean")
+
+
 @query("linreg_intensity")
 def linreg_intensity(spark, folder):
     _, _, metrics = modeling.fit_regression(inputs.profile(spark, folder), PROFILE_KEY)
