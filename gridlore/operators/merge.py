@@ -60,7 +60,7 @@ def upsert_counters(merged: DataFrame) -> DataFrame:
         F.count_if(F.col(STATE).isin("matched", "modified")).alias("matched"))
 
 
-def _touched(df: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
+def partitions_of(df: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of the partitions the source has rows for.
 
     The values of each partition column become literals, so other partitions are not even listed for reading; they
@@ -90,10 +90,10 @@ def upsert_table(path: str, source: DataFrame, key: str, partition_by: Sequence[
     source = materialize(latest_by(source, [key], newest), "upsert-source")
     stored = _stored(source, path, schema)
     if stored is None:
-        _write_partitions(source, path, partition_by)
+        replace_partitions(source, path, partition_by)
         return upsert_counters(source.withColumn(STATE, F.lit("inserted")))
-    merged = materialize(upsert(_touched(stored, source, partition_by), source, key), "upsert-merged")
-    _write_partitions(merged.drop(STATE), path, partition_by)
+    merged = materialize(upsert(partitions_of(stored, source, partition_by), source, key), "upsert-merged")
+    replace_partitions(merged.drop(STATE), path, partition_by)
     return upsert_counters(merged)
 
 
@@ -112,7 +112,7 @@ def _stored(source: DataFrame, path: str, schema: StructType | None = None) -> D
         return None
 
 
-def _write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replaces the partitions ``df`` has rows for; large ones are split over tasks, small ones share one."""
     (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
@@ -147,14 +147,14 @@ def replace_table(path: str, source: DataFrame, keys: Sequence[str], partition_b
     inserted = source.agg(F.count("*").alias("inserted"))
     stored = _stored(source, path)
     if stored is None:
-        _write_partitions(source, path, partition_by)
+        replace_partitions(source, path, partition_by)
         return inserted.select(F.lit(0).cast("long").alias("deleted"), "inserted")
-    touched = _touched(stored, source, partition_by)
+    touched = partitions_of(stored, source, partition_by)
     kept = _others(touched, source, keys)
     tallies = materialize(touched.agg(F.count("*").alias("n")), "replace-before").withColumn("kept", kept.agg(F.count("*")).scalar())
     tallies = materialize(tallies.select((F.col("n") - F.col("kept")).alias("deleted")), "replace-counters")
     after = materialize(kept.unionByName(source, allowMissingColumns=True), "replace-after")
-    _write_partitions(after, path, partition_by)
+    replace_partitions(after, path, partition_by)
     return tallies.withColumn("inserted", inserted.scalar())
 
 
