@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +48,20 @@ def broadcast_bits(positions: DataFrame, column: str, bits: int):
     if words.num_rows:
         found[words["word"].to_numpy()] = words["mask"].to_numpy().astype(np.int64).view(np.uint64)
     return positions.sparkSession.sparkContext.broadcast(found)
+
+
+def released(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """``run`` over a task's batches; afterwards freed memory goes back to the system.
+
+    Python workers stay up between tasks and stages, beside the heap of their executor.
+    """
+
+    def wrapped(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return wrapped

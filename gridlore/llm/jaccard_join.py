@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlore.llm.common import broadcast_bits, table, text_of
+from gridlore.llm.common import broadcast_bits, released, table, text_of
 from gridlore.llm.components import components
 from gridlore.llm.forests import contract
 from gridlore.llm.kernels import mix, shingle_sets
@@ -141,7 +141,7 @@ def _scan(docs: DataFrame, n: int, seed: int) -> DataFrame:
 
     names = ["kind", "doc_id", "text_key", "n", "d1", "d2", "parity", "counts"]
     return docs.select("doc_id", "text", F.xxhash64(text_of()).alias("text_key")).mapInArrow(
-        run, f"kind int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, n long, d1 long, d2 long, parity array<long>, counts binary")
+        released(run), f"kind int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, n long, d1 long, d2 long, parity array<long>, counts binary")
 
 
 def _count(counts: np.ndarray, sets: list[np.ndarray]) -> None:
@@ -162,7 +162,7 @@ def _sketch(scanned: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
                                          names=["part", "counts"])
 
-    rows = scanned.filter("kind = 1").select("n", "counts").repartition("n").mapInArrow(run, "part long, counts binary").toArrow()
+    rows = scanned.filter("kind = 1").select("n", "counts").repartition("n").mapInArrow(released(run), "part long, counts binary").toArrow()
     whole = np.zeros((1 << (SKETCH_BITS - _CHUNK_BITS), 1 << _CHUNK_BITS), dtype=np.uint64)
     for part, raw in zip(rows["part"].to_pylist(), rows["counts"].to_pylist()):
         whole[part] = np.frombuffer(raw, dtype=np.uint64)
@@ -192,7 +192,7 @@ def _signature_rows(docs: DataFrame, n: int, seed: int, percent: int, counts, fr
                     held, room = [], 0
             yield _rows(held)
 
-    return docs.select("text").mapInArrow(run, "sig long, node long, n int, rest int")
+    return docs.select("text").mapInArrow(released(run), "sig long, node long, n int, rest int")
 
 
 def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -224,7 +224,7 @@ def _sets(docs: DataFrame, n: int, seed: int, ids) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([_digest(s, seed)[0] for s in sets], pa.int64()),
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "tokens"])
 
-    return docs.select(_bit_of(F.col("doc_id")).alias("at"), "text").mapInArrow(run, "node long, tokens binary")
+    return docs.select(_bit_of(F.col("doc_id")).alias("at"), "text").mapInArrow(released(run), "node long, tokens binary")
 
 
 def _bit_of(doc_id: Column) -> Column:
@@ -266,7 +266,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = pairs.join(sets.select(F.col("node").alias("u"), F.col("tokens").alias("x")), "u")
     both = left.join(sets.select(F.col("node").alias("v"), F.col("tokens").alias("y")), "v")
-    return both.select("u", "v", "x", "y").mapInArrow(run, "u long, v long")
+    return both.select("u", "v", "x", "y").mapInArrow(released(run), "u long, v long")
 
 
 def linked(xs: list[np.ndarray], ys: list[np.ndarray], percent: int) -> np.ndarray:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlore.llm.common import table
+from gridlore.llm.common import released, table
 from gridlore.llm.kernels import WHITE, byte_rows, hash_runs, row_blocks
 from gridlore.session import materialize
 
@@ -25,8 +25,8 @@ CAPACITIES = (TOKENS, TOKENS, TOKENS * TOKENS)
 WEIGHTS = (1.0, 0.01, 0.01)
 #: Pieces packed together by one task.
 GROUP = 8192
-BLOCK_BYTES = 4 << 20
-CACHED_WORDS = 300_000
+BLOCK_BYTES = 1 << 20
+CACHED_WORDS = 150_000
 
 
 @lru_cache(maxsize=1)
@@ -146,7 +146,7 @@ def pieces(docs: DataFrame, tokens: int = TOKENS, path: str | None = None, with_
                         ("ids_crc32", pa.int64()), ("ids", pa.binary())])
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary")
+        released(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary")
     return found if with_ids else found.drop("ids")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlore.llm.features import SAMPLE_ROWS, SLOTS, Sample, adam, sample_of, sparse_rows
-from gridlore.llm.common import table
+from gridlore.llm.common import released, table
 
 #: Grades: 0 clean, 1 mild, 2 severe.
 GRADES = 3
@@ -128,7 +128,7 @@ def score_severity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
             extra = [pa.array(every.sum(axis=1)), pa.array(every[:, 0]), pa.array(chance.argmax(axis=1).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, "severity", "p_toxic", "grade"])
 
-    return plain.mapInArrow(run, f"{schema}, severity double, p_toxic double, grade int")
+    return plain.mapInArrow(released(run), f"{schema}, severity double, p_toxic double, grade int")
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> OrdinalModel:
