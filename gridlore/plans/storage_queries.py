@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from gridlore.functions.numbers import currency_to_double
 from gridlore.functions.rows import one_row
 from gridlore.functions.text import KEY_FIELDS
-from gridlore.operators import merge
+from gridlore.operators import batches, merge
 from gridlore.operators.reshape import measures_to_rows
 from gridlore.plans import inputs
 from gridlore.plans.fact_queries import GENERATION_SQL, SOURCE_SQL, source_rows
@@ -17,6 +17,7 @@ from gridlore.plans.jobs import NEWEST, STORE_PARTITIONS, integrate, keyed
 from gridlore.plans.registry import query
 from gridlore.session import materialize, new_path
 from gridlore.sources import files, sinks
+from gridlore.sources.discovery import discover
 from gridlore.sources.loaders import load_generation
 from gridlore.sources.registry import SourceRegistry
 from gridlore.streaming import incremental
@@ -125,6 +126,15 @@ def src_registry_union(spark, folder):
         F.count("*").alias("registros"), F.round(F.sum("valor"), 2).alias("total"))
 
 
+@query("src_discovered_union", f"""
+WITH {FACTS_SQL} SELECT CASE dataset WHEN 'projects' THEN 'scraper_orders' ELSE 'scraper_lines' END AS scraper_origen,
+       dataset, count(*) AS registros, round(sum(valor), 2) AS total FROM facts GROUP BY ALL""")
+def src_discovered_union(spark, folder):
+    """The same rows from the source modules found in a package."""
+    return discover("gridlore.plans.landed").load_all(spark, folder).groupBy("scraper_origen", "dataset").agg(
+        F.count("*").alias("registros"), F.round(F.sum("valor"), 2).alias("total"))
+
+
 @query("integration_job", f"""
 WITH {NORMAL_SQL},
 pairs AS (SELECT DISTINCT dataset, periodo FROM normal),
@@ -332,6 +342,37 @@ def append_quarantine(spark, folder):
     return report.withColumns({c: counts[c] for c in tallies.columns})
 
 
+@query("append_batch_twice", """
+SELECT lote, CASE WHEN p_type = 'PROMO' THEN 'cuarentena' ELSE 'cargado' END AS estado, count(*) AS registros,
+       round(sum(CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_retailprice END), 2) AS total,
+       (SELECT count(*) FROM part WHERE p_type <> 'PROMO') AS exitosos, (SELECT count(*) FROM part WHERE p_type = 'PROMO') AS fallidos
+FROM part, (VALUES ('dia-1'), ('dia-2')) b(lote) GROUP BY ALL""")
+def append_batch_twice(spark, folder):
+    """Two batches of prices, the first one run twice: every batch stands there once. Tallies come from the writes."""
+    raw = F.when(F.col("p_type") == "PROMO", "consultar").otherwise(F.concat(F.lit("£"), F.format_number("p_retailprice", 2)))
+    rows = table(spark, folder, "part").select("p_partkey", raw.alias("valor"))
+    path = new_path(spark, "batches")
+    for batch in ("dia-1", "dia-2", "dia-1"):
+        counts = batches.append_batch(rows, "valor", currency_to_double("valor"), path, batch)
+    report = spark.read.parquet(path).groupBy("lote", "estado").agg(F.count("*").alias("registros"), F.round(F.sum("valor"), 2).alias("total"))
+    return report.withColumns({name: F.lit(n).cast("long") for name, n in counts.items()})
+
+
+@query("checks_observed", f"""
+WITH {FACTS_SQL} SELECT count(*) AS registros, count(*) FILTER (valor <= 0) AS no_positivos, count(*) FILTER (trim(tema) = '') AS sin_tema,
+       count(DISTINCT dataset) AS datasets, min(periodo) AS primero, max(periodo) AS ultimo FROM facts""")
+def checks_observed(spark, folder):
+    """Checks of the facts tallied by the job that writes them, next to what a count of the stored table gives."""
+    path = new_path(spark, "checked-facts")
+    seen = batches.observed_write(
+        inputs.facts(spark, folder), lambda df: df.write.parquet(path), registros=F.count("*"), no_positivos=F.count_if(F.col("valor") <= 0),
+        sin_tema=F.count_if(F.trim("tema") == ""), primero=F.min("periodo"), ultimo=F.max("periodo"))
+    stored = spark.read.parquet(path).agg(F.count_distinct("dataset").alias("datasets"))
+    return stored.select(
+        *[F.lit(seen[c]).cast("long").alias(c) for c in ("registros", "no_positivos", "sin_tema")], "datasets",
+        *[F.lit(seen[c]).cast("int").alias(c) for c in ("primero", "ultimo")])
+
+
 @query("stream_upsert_events", """
 WITH sent AS (
   SELECT event_id, ts, value FROM events
