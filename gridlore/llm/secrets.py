@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlore.llm.common import table, text_of
+from gridlore.session import materialize
 
 # The patterns of the base spans, their least lengths and their order.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -82,6 +83,7 @@ def _alphabet(value: str) -> float:
 def corpus_words(docs: DataFrame, limit: int = DICTIONARY, least: int = LEAST_TEXTS) -> dict[str, float]:
     """The commonest words of ``docs`` by the number of distinct texts, and log10 of their ranks; at most ``limit``.
 
+    Whole levels of counts are taken from the top while they fit, so the driver gets ``limit`` words at most, however many tasks counted.
     Words are runs of 3 to ``LONGEST`` letters outside the values beside credential words, so a repeated secret is none.
     """
     prose = F.regexp_replace(text_of(), _VALUE, " ")
@@ -91,8 +93,20 @@ def corpus_words(docs: DataFrame, limit: int = DICTIONARY, least: int = LEAST_TE
     # the bits of 64 hashed places: so many texts at least, and copies count once
     place = F.expr("shiftleft(1L, cast(pmod(text_key, 64) as int))")
     counted = each.groupBy("word").agg(F.count("*").alias("n"), F.bit_count(F.bit_or(place)).alias("texts"))
-    top = counted.filter(F.col("texts") >= least).orderBy(F.desc("n"), "word").limit(limit).select("word").collect()
-    return {row["word"]: math.log10(2 + i) for i, row in enumerate(top)}
+    level = F.floor(F.log2("n") * 16).cast("int").alias("level")
+    counted = materialize(counted.filter(F.col("texts") >= least).select("word", "n", level), "word-counts")
+    # a level is a range of counts of 4 %: fewer than a thousand rows whatever the data
+    sizes = sorted(((r["level"], r["count"]) for r in counted.groupBy("level").count().collect()), reverse=True)
+    total, lowest = 0, None
+    for at, size in sizes:
+        total += size
+        if total > limit:
+            break
+        lowest = at
+    if lowest is None:
+        return {}
+    top = counted.filter(F.col("level") >= lowest).select("word", "n").collect()
+    return {word: math.log10(2 + i) for i, (word, _) in enumerate(sorted(top, key=lambda r: (-r["n"], r["word"])))}
 
 
 def _with(known: Mapping[str, float]) -> dict[str, float]:
