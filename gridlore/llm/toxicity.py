@@ -17,6 +17,8 @@ from gridlore.llm.common import released, table
 GRADES = 3
 #: A text goes from this expected severity on; a text that is surely mild has 1.
 REJECT_FROM = 0.25
+#: So much above a text without known words at least.
+MARGIN = 0.05
 STEPS, RATE, DECAY = 150, 0.1, 1e-4
 #: Words count whose presence goes with the label by this likelihood ratio (about five standard deviations), in so many rows.
 LEAST_RATIO, LEAST_ROWS = 25.0, 5
@@ -136,13 +138,27 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     return fit(sample_of(docs, labels, "toxic", structure=False, rows=rows))
 
 
+def reject_limit(model: OrdinalModel, reject_from: float = REJECT_FROM) -> float:
+    """``reject_from``, or more where a text without any known word scores near it: what a model knows nothing about is not toxic to it."""
+    return max(reject_from, float(model.chances(np.zeros(1)).sum()) + MARGIN)
+
+
 def drop_toxic(docs: DataFrame, labels: DataFrame, reject_from: float = REJECT_FROM) -> DataFrame:
-    """The rows of ``docs`` whose expected severity is below ``reject_from``, with the columns of ``docs``."""
-    scored = score_severity(docs, toxicity_model(docs, labels))
-    return scored.filter(F.col("severity") < reject_from).select(*docs.columns)
+    """The rows of ``docs`` whose expected severity is below ``reject_limit``, with the columns of ``docs``."""
+    model = toxicity_model(docs, labels)
+    taken, own = {c.lower() for c in docs.columns}, {}
+    for name in ("severity", "p_toxic", "grade"):  # a user's columns of these names stand aside while rows are scored
+        if name in taken:
+            own[name] = f"_own_{name}"
+            while own[name] in taken:
+                own[name] += "_"
+    scored = score_severity(docs.withColumnsRenamed(own), model)
+    kept = scored.filter(F.col("severity") < reject_limit(model, reject_from))
+    return kept.select(*[F.col(own.get(c.lower(), c)).alias(c) for c in docs.columns])
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = score_severity(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", "severity", "p_toxic", "grade", (F.col("severity") >= REJECT_FROM).alias("toxic"))
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    scored = score_severity(docs, model)
+    return scored.select("doc_id", "severity", "p_toxic", "grade", (F.col("severity") >= reject_limit(model)).alias("toxic"))

@@ -452,6 +452,34 @@ def test_severity_rises_with_marks(spark):
     assert toxicity.drop_toxic(docs, labels).columns == docs.columns
 
 
+@pytest.mark.parametrize("toxic", [[0, 2, 5, 7], range(1, 9), range(9), []])
+def test_a_model_that_knows_nothing_rejects_nothing(spark, toxic):
+    docs = documents(spark, [None, "", "one two", "three", "four five six", "seven", "eight nine", "ten", "eleven"])
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in range(9)], "doc_id long, toxic int")
+    assert toxicity.drop_toxic(docs, labels).count() == 9
+
+
+def test_toxic_rows_go_at_any_share_and_own_columns_stay(spark):
+    docs, labels = marked_corpus(spark)
+    bad = {r["doc_id"] for r in labels.filter("toxic = 1").collect()}
+    few = docs.join(labels.filter("toxic = 1"), "doc_id", "left_semi").unionByName(docs.join(labels.filter("toxic = 0"), "doc_id", "left_semi").limit(60))
+    for frame, least in ((docs, 75), (few, 70)):
+        own = frame.select("*", F.lit("mine").alias("severity"), F.lit(7).alias("Grade"), F.lit(8).alias("_own_severity"))
+        kept = toxicity.drop_toxic(own, labels.join(frame, "doc_id", "left_semi"))
+        rows = kept.collect()
+        assert kept.columns == own.columns and {(r["severity"], r["Grade"], r["_own_severity"]) for r in rows} == {("mine", 7, 8)}
+        gone = {r["doc_id"] for r in frame.collect()} - {r["doc_id"] for r in rows}
+        assert len(gone & bad) >= least and len(gone - bad) <= 3
+
+
+def test_dictionary_takes_whole_levels_of_the_commonest(spark):
+    texts = [f"alpha beta text{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(60)] + [f"alpha rare{'xyz'[i]}" for i in range(3)]
+    assert list(secrets.corpus_words(documents(spark, texts), limit=2)) == ["alpha", "beta"]
+    assert list(secrets.corpus_words(documents(spark, texts), limit=1)) == ["alpha"]
+    assert secrets.corpus_words(documents(spark, [t.replace("alpha ", "alpha beta ") for t in texts]), limit=1) == {}
+    assert secrets.corpus_words(documents(spark, []), limit=9) == {}
+
+
 def test_quality_held_out(spark):
     docs, labels = marked_corpus(spark)
     scored = quality_model.score_quality(docs, quality_model.quality_model(docs, labels))
