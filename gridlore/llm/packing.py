@@ -25,8 +25,8 @@ CAPACITIES = (TOKENS, TOKENS, TOKENS * TOKENS)
 WEIGHTS = (1.0, 0.01, 0.01)
 #: Pieces packed together by one task.
 GROUP = 8192
-BLOCK_BYTES = 1 << 20
-CACHED_WORDS = 150_000
+BLOCK_BYTES = 4 << 20
+CACHED_WORDS = 300_000
 
 
 @lru_cache(maxsize=1)
@@ -75,15 +75,17 @@ def _starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut[:-1])
 
 
-def token_rows(column: pa.Array, path: str | None = None, added: bool = False) -> Iterator[np.ndarray]:
+def token_rows(column: pa.Array, path: str | None = None, added: bool = False, block_bytes: int | None = None) -> Iterator[np.ndarray]:
     """The ids of every row as unsigned 32-bit numbers, closed by id 0. Distinct words of a block are encoded once.
 
     With ``added`` the strings of added tokens get their own ids, as the tokenizer gives by default; else they are ordinary text.
+    Blocks of ``block_bytes`` bound memory: smaller ones, and as much fewer remembered words, cost more time.
     """
+    block_bytes = block_bytes or BLOCK_BYTES
     encoding, caches = _tokenizer(path)
     cache, own = caches[added], _added()[0] if added else {}
     data, offsets = byte_rows(column)
-    for first, end in row_blocks(offsets, BLOCK_BYTES):
+    for first, end in row_blocks(offsets, block_bytes):
         span, at = data[offsets[first]:offsets[end]], offsets[first:end + 1] - offsets[first]
         starts = _starts(span, at)
         if added:
@@ -91,13 +93,13 @@ def token_rows(column: pa.Array, path: str | None = None, added: bool = False) -
         ends = np.append(starts[1:], len(span))
         counts, ids, done = [], [], 0
         while done < len(starts):
-            upto = max(done + 1, int(np.searchsorted(ends, starts[done] + BLOCK_BYTES, side="right")))
+            upto = max(done + 1, int(np.searchsorted(ends, starts[done] + block_bytes, side="right")))
             begin = starts[done]
             piece = span[begin:ends[upto - 1]]
             some, their_ends = starts[done:upto] - begin, ends[done:upto] - begin
             hashes, where, which = np.unique(hash_runs(piece, some, their_ends), return_index=True, return_inverse=True)
             keys = hashes.tolist()
-            if len(cache) > CACHED_WORDS:
+            if len(cache) > CACHED_WORDS * min(1.0, block_bytes / BLOCK_BYTES):
                 cache.clear()
             values = [cache.get(key) for key in keys]
             raw = piece.tobytes()
@@ -121,7 +123,7 @@ def token_rows(column: pa.Array, path: str | None = None, added: bool = False) -
             yield np.append(every[rows[row]:rows[row + 1]], np.array([0], dtype="<u4"))
 
 
-def pieces(docs: DataFrame, tokens: int = TOKENS, path: str | None = None, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokens: int = TOKENS, path: str | None = None, with_ids: bool = False, block_bytes: int | None = None) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` and on demand ``ids`` (little-endian, 4 bytes each).
 
     Only documents of more than ``tokens`` ids are cut, all their pieces but the first to the full length. A null or
@@ -131,7 +133,7 @@ def pieces(docs: DataFrame, tokens: int = TOKENS, path: str | None = None, with_
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, ids in zip(batch.column(0).to_pylist(), token_rows(batch.column(1), path, added=True), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), token_rows(batch.column(1), path, added=True, block_bytes=block_bytes), strict=True):
                 head = len(ids) % tokens or tokens
                 cuts = [0, *range(min(head, len(ids)), len(ids) + 1, tokens)]
                 for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -219,9 +221,9 @@ def pack(found: DataFrame, capacities: Sequence[float] = CAPACITIES, weights: Se
     return keyed.groupBy("_group").applyInPandas(run, f"{fields}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, with_ids: bool = False, **settings) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, with_ids: bool = False, block_bytes: int | None = None, **settings) -> DataFrame:
     """Tokenises ``docs`` (``doc_id, text``) and packs the pieces; repeated rows are packed as often as they stand there."""
-    return pack(materialize(pieces(docs, path=path, with_ids=with_ids), "pieces"), **settings)
+    return pack(materialize(pieces(docs, path=path, with_ids=with_ids, block_bytes=block_bytes), "pieces"), **settings)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -203,6 +203,13 @@ def test_tokens_equal_the_tokenizer():
     assert [x.tolist() for x in packing.token_rows(pa.array([*texts, None]))] == [*expected, [0]]
 
 
+def test_smaller_blocks_give_the_same_ids():
+    rng = np.random.default_rng(21)
+    column = pa.array([" ".join(words_of(rng, int(k))) for k in (0, 3, 900, 40)] + [None, "a <|endoftext|> b"] * 3)
+    whole = [ids.tolist() for ids in packing.token_rows(column, added=True)]
+    assert [ids.tolist() for ids in packing.token_rows(column, added=True, block_bytes=64)] == whole
+
+
 def test_added_tokens_have_their_ids(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
