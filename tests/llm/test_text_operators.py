@@ -327,10 +327,10 @@ def test_fuzzy_lines(spark):
     line = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80))
     fuzzy = line.replace("wordca", "changed")
     texts = [line + "\nshort line", "first\n" + line.upper() + ".", fuzzy, "short line\n\n" + "Nothing here is like any other line", None, line + "\n" + line]
-    got = {r["doc_id"]: r for r in line_dedup.line_groups(documents(spark, texts), distance=6, blocks=9).collect()}
+    got = {r["doc_id"]: r for r in line_dedup.line_groups(documents(spark, texts)).collect()}
     assert [got[i]["removed"] for i in range(6)] == [[], [1], [0], [], [], [0, 1]]
     assert [got[i]["n_lines"] for i in range(6)] == [2, 2, 1, 3, 1, 2]
-    clean = {r["doc_id"]: r["text"] for r in line_dedup.drop_fuzzy_lines(documents(spark, texts), distance=6, blocks=9).collect()}
+    clean = {r["doc_id"]: r["text"] for r in line_dedup.drop_fuzzy_lines(documents(spark, texts)).collect()}
     assert clean == {0: texts[0], 1: "first", 2: "", 3: texts[3], 4: None, 5: ""}
 
 
@@ -357,7 +357,7 @@ def test_every_similar_line_is_found(spark, vocabulary, frequent):
                 group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
     docs = documents(spark, [" ".join(line) for line in lines] + ([" ".join(words_of(rng, 40, 400)).translate(
         str.maketrans("0123456789", "abcdefghij")) for _ in range(500)] if frequent else []))
-    got = {r["doc_id"]: r["removed"] for r in line_dedup.line_groups(docs, every=True).collect()}
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.line_groups(docs, blocks=None).collect()}
     assert [got[i] for i in range(len(lines))] == [[0] if g < i else [] for i, g in enumerate(group)]
     assert sum(g < i for i, g in enumerate(group)) > 80
 
@@ -375,13 +375,57 @@ def test_short_lines_and_scripts_without_spaces(spark):
     assert words == [len(chinese), 6, 4, 2]
 
 
-def test_simhash_blocks_find_every_near_pair(spark):
+def edited(rng, line, edits):
+    """Copies of ``line`` with so many words changed, left out or added."""
+    copy = list(line)
+    for _ in range(edits):
+        at = int(rng.integers(0, len(copy)))
+        kind = rng.integers(0, 3)
+        copy[at:at + (kind != 2)] = [] if kind == 1 else [int(rng.integers(2**62))]
+    return copy
+
+
+def test_simhash_blocks_meet(spark):
+    """Every pair within the edits agrees in a block when all are taken; of those taken at most lengths nearly all do."""
     rng = np.random.default_rng(11)
-    base = int(rng.integers(0, 2**62))
-    rows = [(base, base ^ sum(1 << int(b) for b in rng.choice(63, int(k), replace=False))) for k in rng.integers(0, 4, 60)]
-    keys = spark.createDataFrame(rows, "a long, b long").select(F.arrays_overlap(
-        line_dedup._block_keys(F.col("a"), 3, 6), line_dedup._block_keys(F.col("b"), 3, 6)).alias("met"))
-    assert all(r["met"] for r in keys.collect())
+    for size in (5, 6, 7, 9, 10, 13, 15, 16, 17, 20, 27, 60, 100):
+        met = []
+        for _ in range(200):
+            x = [int(w) for w in rng.integers(0, 2**62, size)]
+            y = edited(rng, x, size // 5)
+            if len(y) < 5 or (max(len(x), len(y)) // 5) < edits_by_force(x, y):
+                continue
+            own, sizes = mixed_words(x + y), np.array([len(x), len(y)])
+            for blocks in (None, line_dedup.BLOCKS):
+                line, key = line_dedup.block_keys(own, np.array([0, len(x)]), sizes, blocks)
+                met.append((blocks is None, bool(np.isin(key[line == 0], key[line == 1]).any())))
+        assert all(ok for every, ok in met if every)
+        assert np.mean([ok for every, ok in met if not every]) > 0.9, size
+
+
+def mixed_words(numbers):
+    return kernels.mix(np.array(numbers, np.uint64))
+
+
+def test_hot_blocks_are_dealt_over_parts(spark, monkeypatch):
+    """Lines that share a block but are not near the first: groups as by brute force, however keys are dealt."""
+    monkeypatch.setattr(line_dedup, "PART", 3)
+    rng = np.random.default_rng(5)
+    shared = words_of(rng, 4)
+    lines = []
+    for size in (16, 20, 25):
+        for _ in range(6):
+            line = shared + words_of(rng, size)
+            lines += [line, [*line[:-1], "other"], line[:-2]]
+    group = list(range(len(lines)))
+    for i, x in enumerate(lines):
+        for j in range(i):
+            if edits_by_force(x, lines[j]) <= max(len(x), len(lines[j])) // 5:
+                group = [group[j] if g == group[i] else g for g in group]
+    letters = str.maketrans("0123456789", "abcdefghij")  # digits are all one
+    docs = documents(spark, [" ".join(line).translate(letters) for line in lines])
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.line_groups(docs, blocks=None).collect()}
+    assert sum(len(r) for r in got.values()) == len(lines) - len(set(group)) == 36
 
 
 def test_secret_spans():
