@@ -16,7 +16,7 @@ from gridlore.plans.inputs import CLEAN_SQL, FACTS_SQL, NORMAL_SQL, table
 from gridlore.plans.jobs import NEWEST, STORE_PARTITIONS, integrate, keyed
 from gridlore.plans.registry import query
 from gridlore.session import materialize, new_path
-from gridlore.sources import files, sinks
+from gridlore.sources import dumps, files, sinks
 from gridlore.sources.discovery import discover
 from gridlore.sources.loaders import load_generation
 from gridlore.sources.registry import SourceRegistry
@@ -102,6 +102,21 @@ def src_json_collection(spark, folder):
         F.min(F.col("ts").cast("string")).alias("primero"))
 
 
+@query("src_document_dump", """
+SELECT lpad(CAST(o_orderkey AS VARCHAR), 24, '0') AS _id, o_orderkey, o_orderstatus, o_orderpriority AS prioridad, o_totalprice
+FROM orders WHERE o_orderstatus = 'F'""")
+def src_document_dump(spark, folder):
+    """Orders as a document store's dump: wrapped numbers, object ids, a nested field; the status filter reaches the scan."""
+    path = new_path(spark, "document-dump")
+    orders = table(spark, folder, "orders").select(
+        F.lpad(F.col("o_orderkey").cast("string"), 24, "0").alias("_id"), "o_orderkey", "o_orderstatus", "o_totalprice",
+        F.struct(F.col("o_orderpriority").alias("prioridad"), F.array("o_orderkey").alias("claves")).alias("detalle"))
+    dumps.write_dump(orders, path, object_ids=["_id"])
+    schema = "_id string, o_orderkey long, o_orderstatus string, o_totalprice double, detalle struct<prioridad: string>"
+    found = dumps.read_dump(spark, path, schema, only={"o_orderstatus": "F"})
+    return found.select("_id", "o_orderkey", "o_orderstatus", "detalle.prioridad", "o_totalprice")
+
+
 @query("src_fallback", "SELECT 'parquet' AS origen, c_custkey, c_name, c_acctbal FROM customer")
 def src_fallback(spark, folder):
     schema = T.StructType.fromDDL("c_custkey bigint, c_name string, c_acctbal double")
