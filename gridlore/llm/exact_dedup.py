@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlore.llm.common import salt_of, table, text_of, without_white
+from gridlore.llm.common import salt_of, table, text_of, unused, without_white
 from gridlore.session import materialize
 
 
@@ -17,8 +17,8 @@ def content_hash(text: Column) -> Column:
 
 
 def _rank() -> Column:
-    """Largest for the row that stays: most code points, then smallest id; a null id comes last. ``~id`` falls as the id rises."""
-    return F.struct(F.col("n_points"), F.col("doc_id").isNotNull().alias("known"), F.bitwise_not("doc_id").alias("order"),
+    """Smallest for the row that stays: most code points, then smallest id of any ordered type; a null id comes last."""
+    return F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"),
                     F.col("text_sha256").alias("sha"))
 
 
@@ -31,8 +31,8 @@ def _hashed(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
 
 def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Adds ``n`` (rows of the group) and ``top`` (rank of the row that stays); a hot group is spread over salts."""
-    parts = rows.groupBy(*keys, "salt").agg(F.sum("times").alias("n"), F.max("rank").alias("top"))
-    whole = parts.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("top").alias("top"))
+    parts = rows.groupBy(*keys, "salt").agg(F.sum("times").alias("n"), F.min("rank").alias("top"))
+    whole = parts.groupBy(*keys).agg(F.sum("n").alias("n"), F.min("top").alias("top"))
     # a key meets its total in at most one row per salt
     return parts.select(*keys, "salt").join(whole, keys)
 
@@ -40,7 +40,7 @@ def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
 def _answer(rows: DataFrame) -> DataFrame:
     best = F.col("rank") == F.col("top")
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(
-        "doc_id", F.when(F.col("top.known"), F.bitwise_not(F.col("top.order"))).alias("keep_id"),
+        "doc_id", F.col("top.id").alias("keep_id"),
         F.col("n").alias("group_size"), (best & (F.col("copy") == 1)).alias("kept"), "text_sha256", "h", "n_points")
 
 
@@ -48,7 +48,7 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = content_h
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256`` and the hash ``h``.
 
     Texts are equal when identical without white space; null counts as empty. Of equal texts the row with the most
-    code points stays, then the one with the smallest ``doc_id``; a null id comes last. Of whole rows repeated, one stays. Rows
+    code points stays, then the one with the smallest ``doc_id``, of whatever ordered type; a null id comes last. Of whole rows repeated, one stays. Rows
     are grouped by ``digest``; then every row's text is compared with that of the row that stays, and texts that
     differ although their hashes agree are grouped by the text itself.
     """
@@ -80,18 +80,19 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = content_h
 
 def drop_copies(docs: DataFrame, digest: Callable[[Column], Column] = content_hash) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows repeated with id and text one stays."""
+    name = unused(docs, "_key")
     key = ["doc_id", "text_sha256", "n_points"]
     rows = exact_groups(docs, digest).groupBy(*key).agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
     marks = materialize(rows.filter("not kept or rows > 1"), "marks")
-    marked = docs.select(*[F.col(c) for c in docs.columns], F.struct(
+    marked = docs.select("*", F.struct(
         F.col("doc_id"), F.sha2(without_white(text_of()), 256).alias("text_sha256"),
-        F.char_length(text_of()).cast("long").alias("n_points")).alias("_key"))
-    same = [F.col(f"d._key.{k}").eqNullSafe(F.col(f"m.{k}")) for k in key]
+        F.char_length(text_of()).cast("long").alias("n_points")).alias(name))
+    same = [F.col(f"d.{name}.{k}").eqNullSafe(F.col(f"m.{k}")) for k in key]
     stay = marked.alias("d").join(marks.alias("m"), same, "left_anti")
     repeated = marks.filter("kept")
     if not repeated.isEmpty():
-        stay = stay.unionByName(marked.alias("d").join(repeated.alias("m"), same, "left_semi").dropDuplicates(["_key"]))
-    return stay.drop("_key")
+        stay = stay.unionByName(marked.alias("d").join(repeated.alias("m"), same, "left_semi").dropDuplicates([name]))
+    return stay.drop(name)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,7 +107,7 @@ def recorded_length(docs: DataFrame) -> Column:
 def sample_of(docs: DataFrame, labels: DataFrame, label: str, structure: bool, rows: int = SAMPLE_ROWS, where: Column | None = None) -> Sample:
     """Features of at most ``rows`` labelled documents, chosen by the hash of their ids.
 
-    Labels without an id or value do not count. Sampled features are some kilobytes a row, so the sample fits the driver.
+    Labels without an id or value do not count; of documents that share an id the one of the least hash counts. Sampled features are some kilobytes a row, so the sample fits the driver.
     """
     marked = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("_label"))
     if where is not None:
@@ -125,7 +125,10 @@ def sample_of(docs: DataFrame, labels: DataFrame, label: str, structure: bool, r
                 start += n
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.select("doc_id", "text", recorded_length(docs)).join(chosen, "doc_id").mapInArrow(run, f"doc_id {kind}, label int, slots array<int>").toArrow()
+    row = F.struct("text", recorded_length(docs)).alias("row")
+    asked = docs.select("doc_id", row).join(chosen, "doc_id").groupBy("doc_id").agg(
+        F.min_by("row", F.xxhash64("row")).alias("row"), F.first("_label").alias("_label"))
+    found = asked.select("doc_id", "row.text", "row._length", "_label").mapInArrow(run, f"doc_id {kind}, label int, slots array<int>").toArrow()
     found = found.sort_by("doc_id").combine_chunks()
     lists = found["slots"].combine_chunks() if found.num_rows else None
     if lists is None:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridlore.llm.common import WORD, table, text_of
+from gridlore.llm.common import WORD, table, text_of, unused
 from gridlore.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -103,9 +103,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
     ``size`` is the number of words, 0 for null texts. Every document of a source is due ``target / source_size``
     copies: the whole part is taken, the fraction is rounded by pivotal steps weighted by size, first inside groups of about
-    ``fan`` documents, then between the groups' residuals up a tree. Large documents are settled first, so what is left at the
-    root is a small one: a source misses its target by less than that, in expectation by nothing, and no copy count exceeds
-    ``most_copies``. Draws are hashes, so reruns agree. Rows
+    ``fan`` documents, then between the groups' residuals up a tree. Large documents are settled first against the pool of all smaller ones,
+    so a source mostly misses its target by less than a small document; where that pool is full or empty, by less than one copy of its
+    largest. In expectation it misses by nothing, and no copy count exceeds ``most_copies``. Draws are hashes, so reruns agree. Rows
     that share id, source and size are one unit and get as many copies each. An empty table gives none.
     """
     sized = docs.select("doc_id", "source", F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"))
@@ -147,13 +147,14 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
 def take(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with all their columns; documents without words are not taken."""
+    size, again = unused(docs, "_size"), unused(docs, "_copy")
     copies = mix(docs, **settings).select("doc_id", "source", "size", "copies").filter("copies > 0 and size > 0").distinct()
     copies = materialize(copies, "taken")
-    sized = docs.withColumn("_size", F.regexp_count(text_of(), F.lit(WORD)).cast("long"))
+    sized = docs.withColumn(size, F.regexp_count(text_of(), F.lit(WORD)).cast("long"))
     same = [F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), F.col("d.source").eqNullSafe(F.col("c.source")),
-            F.col("d._size") == F.col("c.size")]
+            F.col(f"d.{size}") == F.col("c.size")]
     joined = sized.alias("d").join(copies.alias("c"), same)
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("c.copies").cast("int")))).select("d.*").drop("_size")
+    return joined.withColumn(again, F.explode(F.sequence(F.lit(1), F.col("c.copies").cast("int")))).select("d.*").drop(size)
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

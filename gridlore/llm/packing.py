@@ -14,6 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gridlore.llm.common import released, table
 from gridlore.llm.kernels import WHITE, byte_rows, hash_runs, row_blocks
@@ -153,7 +154,7 @@ def pieces(docs: DataFrame, tokens: int = TOKENS, path: str | None = None, with_
 
 
 def batch_type(docs: DataFrame) -> pa.DataType:
-    return pa.int64() if docs.schema["doc_id"].dataType.simpleString() == "bigint" else pa.string()
+    return to_arrow_type(docs.schema["doc_id"].dataType)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlore.llm.common import table
+from gridlore.llm.common import table, unused
 from gridlore.llm.features import SLOTS, WORD_BITS, Sample, adam, compact, recorded_length, sample_of, sparse_rows
 
 RANK = 4
@@ -79,10 +79,10 @@ def _scores(model: FactorModel, offsets: np.ndarray, slots: np.ndarray) -> np.nd
 
 
 def score_quality(docs: DataFrame, model: FactorModel) -> DataFrame:
-    """All columns of ``docs`` with ``score`` from 0 to 1; a null or empty text is scored by its statistics."""
+    """All columns of ``docs`` with ``score`` from 0 to 1, which replaces a column of that name; a null or empty text is scored by its statistics."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     plain = docs.drop("score")
-    asked = plain.select("*", recorded_length(plain))
+    asked = plain.select("*", recorded_length(plain).alias(unused(plain, "_length")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -67,6 +67,9 @@ def base_counts(docs: DataFrame) -> DataFrame:
     }).drop("_words", "_hashes", "_windows", "_sorted", "_starts")
 
 
+_STEPS = {"_words", "_lines", "_hashes", "_windows", "_sorted", "_starts", "_kept"}
+
+
 def line_fails(line: Column) -> Column:
     """Whether a line with words goes: no sentence end, too many symbols, a menu, or boilerplate."""
     symbols = F.char_length(line) - F.char_length(F.translate(line, SYMBOLS, ""))
@@ -75,19 +78,22 @@ def line_fails(line: Column) -> Column:
 
 
 def clean_lines(docs: DataFrame, max_lost_percent: int = MAX_LOST_PERCENT) -> DataFrame:
-    """The rows of ``docs`` with the base counts, ``clean_text``, ``n_lines_removed``, ``lost_chars``, ``base_failed`` and ``kept``.
+    """The rows of ``docs`` with the base counts, ``clean_text``, ``n_lines_removed``, ``lost_chars``, ``base_failed`` and ``kept``,
+    which replace columns of these names.
 
     Lines without a word stay as they are. A document goes when it fails the base rules or loses more than
     ``max_lost_percent`` of its word characters; an empty or null text has no words, so it fails the base rules.
     """
-    rows = base_counts(docs)
+    # own columns with the names of steps step aside
+    own = {c: f"own{i}_{c}" for i, c in enumerate(docs.columns) if c.lower() in _STEPS}
+    rows = base_counts(docs.withColumnsRenamed(own))
     rows = rows.withColumn("_kept", F.filter("_lines", lambda line: ~(line.rlike(WORD) & line_fails(line))))
     clean = F.array_join("_kept", "\n")
     rows = rows.withColumn("clean_text", clean).withColumn("n_lines_removed", (F.size("_lines") - F.size("_kept")).cast("long"))
     rows = rows.withColumn("lost_chars", F.col("word_chars") - F.char_length(without_white(F.col("clean_text"))))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (100 * F.col("lost_chars") <= max_lost_percent * F.col("word_chars"))).drop("_lines", "_kept")
+        "kept", ~F.col("base_failed") & (100 * F.col("lost_chars") <= max_lost_percent * F.col("word_chars"))).drop("_lines", "_kept").withColumnsRenamed({aside: c for c, aside in own.items()})
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridlore.llm import exact_dedup, jaccard_join, kernels, line_dedup, mixing, packing, quality_model, quality_rules, secrets, toxicity, url_filter
+from gridlore.llm import exact_dedup, features, jaccard_join, kernels, line_dedup, mixing, packing, quality_model, quality_rules, secrets, toxicity, url_filter
 from gridlore.llm.components import components
 from gridlore.llm.forests import contract, stars
 
@@ -550,3 +550,55 @@ def test_pairs_in_linear_time():
     score = model.bias + (model.weights[slots] * x).sum() + sum(
         float(model.factors[slots[i]] @ model.factors[slots[j]]) * x[i] * x[j] for i in range(12) for j in range(i))
     assert quality_model._scores(model, np.array([0, 12]), slots)[0] == pytest.approx(1 / (1 + np.exp(-score)), rel=1e-5)
+
+
+def named(spark, texts, kind, extra):
+    """Documents with ids of the given type and further string columns."""
+    plain = documents(spark, texts)
+    return plain.select(F.col("doc_id").cast(kind).alias("doc_id"), "text", "lang", "source", "n_chars", *[F.lit(f"mine {c}").alias(c) for c in extra])
+
+
+def assert_own_columns(df, extra):
+    found = df.select(*extra).distinct().collect()
+    assert [tuple(r) for r in found] == [tuple(f"mine {c}" for c in extra)]
+
+
+_TEXTS = ["one two three four five six seven eight nine ten eleven.", "one two three", None, "", "one two three", "word. " * 3000]
+
+
+@pytest.mark.parametrize("kind", ["int", "long", "string", "decimal(20,0)"])
+def test_ids_of_any_type(spark, kind):
+    docs = named(spark, _TEXTS, kind, [])
+    kept = {int(r["doc_id"]): int(r["keep_id"]) for r in exact_dedup.exact_groups(docs).collect()}
+    assert kept == {0: 0, 1: 1, 2: 2, 3: 2, 4: 1, 5: 5}
+    assert sorted(int(r["doc_id"]) for r in exact_dedup.drop_copies(docs).collect()) == [0, 1, 2, 5]
+    packed = packing.pack_documents(docs)
+    assert packed.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    whole = packed.groupBy("doc_id").agg(F.sum("length").alias("n"))
+    expected = [len(ids) for ids in packing.token_rows(pa.array(_TEXTS, pa.string()), None, added=True)]
+    assert {int(r["doc_id"]): r["n"] for r in whole.collect()} == dict(enumerate(expected))
+
+
+def test_own_columns_of_the_steps_names_stay(spark):
+    extra = ["_key", "_KEY2", "_size", "_copy", "_length", "_words", "_Lines", "_kept", "copies", "rank", "h"]
+    docs = named(spark, _TEXTS, "long", extra)
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.columns == docs.columns and kept.count() == 4
+    assert_own_columns(kept, extra)
+    taken = mixing.take(docs, share=1.0)
+    assert taken.columns == docs.columns
+    assert_own_columns(taken, extra)
+    cleaned = quality_rules.clean_lines(docs)
+    assert cleaned.count() == len(_TEXTS)
+    assert_own_columns(cleaned, extra)
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    scored = quality_model.score_quality(docs, quality_model.quality_model(docs, labels))
+    assert scored.columns == [*docs.columns, "score"] and scored.count() == len(_TEXTS)
+    assert_own_columns(scored, extra)
+
+
+def test_a_repeated_id_is_sampled_once(spark):
+    docs = documents(spark, ["alpha beta gamma"] * 50 + ["delta epsilon"], ids=[7] * 50 + [8])
+    labels = spark.createDataFrame([(7, 1), (7, 1), (8, 0)], "doc_id long, quality int")
+    sample = features.sample_of(docs, labels, "quality", structure=True)
+    assert sample.labels.tolist() == [1, 0]
