@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridlore.functions import numbers, text
+from gridlore.functions import automaton, numbers, text
 from gridlore.operators.pages import title
 from gridlore.plans.inputs import table
 from gridlore.plans.registry import query
@@ -132,6 +132,19 @@ def classify_documents(spark, folder):
         F.count("*").alias("documentos"), F.sum("n_chars").alias("caracteres"))
 
 
+@query("classify_by_table", """
+WITH claves AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS palabra FROM benchmark),
+hits AS (SELECT doc_id, arg_min(left(palabra, 1), -1000 * length(palabra) + ascii(left(palabra, 1))) AS categoria
+         FROM documents JOIN claves ON contains(lower(text), palabra) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(h.categoria, 'Otra') AS categoria FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id""")
+def classify_by_table(spark, folder):
+    """Documents by the longest benchmark word they hold anywhere; every such word is a keyword, its first letter the category."""
+    word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0)))
+    words = table(spark, folder, "benchmark").select(word.alias("palabra")).distinct()
+    rules = words.select((-F.char_length("palabra")).alias("orden"), F.left("palabra", F.lit(1)).alias("categoria"), "palabra")
+    return automaton.classify_by_table(table(spark, folder, "documents"), "text", rules).select("doc_id", "categoria")
+
+
 @query("snake_values", r"""
 SELECT page_id, regexp_replace(regexp_replace(translate(lower(regexp_replace(titulo, '^\s+|\s+$', '', 'g')),
          ' ' || chr(10) || '-/áéíóúñ.,[]()', '____aeioun'), '_+', '_', 'g'), '^_|_$', '', 'g') AS nombre
