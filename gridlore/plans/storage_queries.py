@@ -20,7 +20,7 @@ from gridlore.sources import dumps, files, sinks
 from gridlore.sources.discovery import discover
 from gridlore.sources.loaders import load_generation
 from gridlore.sources.registry import SourceRegistry
-from gridlore.streaming import incremental
+from gridlore.streaming import changes, incremental
 
 _LOADED = ["region", "periodo", "categoria_energia", "tecnologia", "actor", "item", "valor", "dataset", "indicador",
            "unidad", "integrante"]
@@ -409,3 +409,37 @@ def stream_upsert_events(spark, folder):
         incremental.run_upsert(stream, stored, ["event_id"], ["ts"], state)
     now = incremental.current_rows(spark, stored, events.schema, ["event_id"], ["ts"])
     return now.select("event_id", F.col("ts").cast("string").alias("ts"), "value")
+
+
+@query("stream_change_feed", """
+WITH sent AS (
+  SELECT 1 AS entrega, event_id, event_type, ts, value FROM events
+  UNION ALL SELECT 1, event_id, event_type, ts - INTERVAL 1 DAY, -value FROM events WHERE event_type = 'click'
+  UNION ALL SELECT 2, event_id, event_type, ts + INTERVAL 1 DAY, value + 1 FROM events WHERE event_type = 'error'
+  UNION ALL SELECT 2, event_id, event_type, ts + INTERVAL 1 DAY, value FROM events WHERE event_type = 'signup'
+  UNION ALL SELECT 2, event_id, event_type, ts, value FROM events),
+per_run AS (
+  SELECT *, row_number() OVER (PARTITION BY event_id, entrega ORDER BY ts DESC) AS rn FROM sent),
+seen AS (
+  SELECT *, lag(ts) OVER w AS ts_antes, lag(value) OVER w AS value_antes, lag(entrega) OVER w AS antes
+  FROM per_run WHERE rn = 1 WINDOW w AS (PARTITION BY event_id ORDER BY entrega))
+SELECT event_id, event_type, CAST(ts AS VARCHAR) AS ts, value, CASE WHEN antes IS NULL THEN 'alta' ELSE 'cambio' END AS tipo,
+  CAST(entrega AS BIGINT) AS version
+FROM seen WHERE antes IS NULL OR (ts > ts_antes AND value <> value_antes)""")
+def stream_change_feed(spark, folder):
+    """Changed keys of two runs: the second brings errors a day newer with other values, signups only newer, and all events again."""
+    events = table(spark, folder, "events").select("event_id", "event_type", "ts", "value")
+
+    def moved(kind: str, days: str, value: str):
+        return events.filter(F.col("event_type") == kind).selectExpr(
+            "event_id", "event_type", f"ts {days} AS ts", f"{value} AS value")
+
+    landing, feed, state = (new_path(spark, name) for name in ("landing", "change-feed", "feed-state"))
+    for arrival in ([events, moved("click", "- INTERVAL 1 DAY", "-value")],
+                    [moved("error", "+ INTERVAL 1 DAY", "value + 1"), moved("signup", "+ INTERVAL 1 DAY", "value"), events]):
+        for part in arrival:
+            part.write.mode("append").parquet(landing)
+        stream = incremental.read_files(spark, landing, events.schema)
+        changes.run_changes(changes.change_feed(stream, ["event_id"], ["ts"]), feed, state)
+    return spark.read.parquet(feed).select("event_id", "event_type", F.col("ts").cast("string").alias("ts"), "value",
+                                           F.col(changes.KIND).alias("tipo"), F.col(changes.VERSION).alias("version"))
