@@ -6,7 +6,7 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from gridlore.operators import model_tables, modeling, stats
+from gridlore.operators import coreset, model_tables, modeling, stats
 from gridlore.operators.dbscan import dbscan
 from gridlore.operators.profiles import MODEL_FEATURES, PROFILE_KEY
 from gridlore.plans import inputs
@@ -104,6 +104,20 @@ def kmeans_chosen_k(spark, folder):
         (F.lit(k) - F.count_distinct("prediction")).cast("long").alias("vacios"))
 
 
+@query("kmeans_coreset_checked", """
+SELECT k, count(*) AS filas, true AS pocas, true AS cercano FROM embeddings, (VALUES (2), (4), (8)) t(k) GROUP BY k""")
+def kmeans_coreset_checked(spark, folder):
+    """K-means fitted on a coreset of the vectors: whether it is small, and its cost over all rows within 1.2 of the full fit's; always true."""
+    rows = materialize(table(spark, folder, "embeddings").select(
+        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("scaledFeatures")), "coreset-vectors")
+    n, size, ks = rows.count(), 400, [2, 4, 8]
+    small = coreset.coreset(rows, ["vec_id"], size).count() <= 2 * size
+    full = coreset.costs(rows, [modeling.fit_kmeans(rows, k) for k in ks])
+    found = coreset.sweep(rows, ["vec_id"], ks, size)
+    return spark.createDataFrame([(k, n, small, cost <= 1.2 * whole) for (k, cost, _, _), whole in zip(found, full)],
+                                 "k int, filas long, pocas boolean, cercano boolean")
+
+
 @query("pseudo_labels")
 def pseudo_labels(spark, folder):
     return stats.group_counts(modeling.pseudo_labels(_clustered(spark, folder)), ["label"])
