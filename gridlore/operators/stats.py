@@ -102,15 +102,19 @@ def boxplot(df: DataFrame, key: str, column: str, digits: int = 6) -> DataFrame:
 
 
 def correlation(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """Pearson matrix in long form, both triangles, from one aggregate."""
+    """Pearson matrix in long form, both triangles, from one aggregate. NaN where a column has no spread, null without rows."""
     pairs = list(combinations_with_replacement(columns, 2))
     row = df.select(*columns).na.drop().agg(
-        *[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.covar_pop(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    spread = {c: F.col(f"s{i}") for i, c in enumerate(columns)}
     cells = []
     for i, (a, b) in enumerate(pairs):
+        # not F.corr, which divides by a spread of 0 and fails
+        r = F.when((spread[a] > 0) & (spread[b] > 0), F.col(f"c{i}") / spread[a] / spread[b]).when(
+            spread[a].isNotNull(), F.lit(float("nan")))
         for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("fila"), F.lit(y).alias("columna"),
-                                  F.round(f"c{i}", digits).alias("valor")))
+            cells.append(F.struct(F.lit(x).alias("fila"), F.lit(y).alias("columna"), F.round(r, digits).alias("valor")))
     return row.select(F.inline(F.array(*cells)))
 
 
