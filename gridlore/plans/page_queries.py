@@ -132,7 +132,8 @@ links AS (SELECT p.url AS pagina, coalesce(p.following, b.url) AS siguiente FROM
 
 
 def _listings(spark, folder):
-    rows = table(spark, folder, "pages").select("url", F.regexp_extract("url", _LISTING, 1).alias("listado"))
+    # an address landed twice is one page: it does not follow itself
+    rows = table(spark, folder, "pages").select("url").distinct().select("url", F.regexp_extract("url", _LISTING, 1).alias("listado"))
     order = Window.partitionBy("listado").orderBy("url")
     placed = rows.select("url", "listado", F.row_number().over(order).alias("n"), F.lead("url").over(order).alias("following"))
     ends = placed.filter("following IS NULL AND n >= 4").select("listado", (1 + F.col("n") % 3).alias("n"), F.lit(True).alias("_end"))
@@ -165,7 +166,7 @@ def page_chains_markup(spark, folder):
     """Chains along the next links of the landed markup; pages whose next page was not landed say so."""
     every = table(spark, folder, "pages")
     named = pages.next_links(every, _NEXT, ["url"]).select(F.col("url").alias("pagina"), "siguiente")
-    return follow(every.select(F.col("url").alias("pagina")).join(named, "pagina", "left"))
+    return follow(every.select(F.col("url").alias("pagina")).distinct().join(named, "pagina", "left"))
 
 
 @query("page_next_param", r"""
