@@ -20,7 +20,7 @@ from gridlore.session import materialize
 LEAST_WORDS = 5
 #: Least edit similarity in percent of the longer line's words.
 SIMILAR = 80
-#: Blocks of four words taken of a line, about.
+#: Blocks of four words taken of a line, about, where a few pairs of long lines may be missed; all are taken unless asked for.
 BLOCKS = 10
 #: Words of 64 bits of a line's map of its words, a power of two.
 MAPS = 4
@@ -278,7 +278,7 @@ def _unsettled_pairs(placed: DataFrame, similar: int) -> DataFrame:
     return pairs.select(F.least("a.h", "b.h").alias("u"), F.greatest("a.h", "b.h").alias("v")).distinct()
 
 
-def line_groups(docs: DataFrame, least_words: int = LEAST_WORDS, similar: int = SIMILAR, blocks: int | None = BLOCKS,
+def line_groups(docs: DataFrame, least_words: int = LEAST_WORDS, similar: int = SIMILAR, blocks: int | None = None,
                 short_copies: bool = False) -> DataFrame:
     """``doc_id, text_key, n_lines, n_removed, removed``, one row per distinct pair of id and text of ``docs``.
 
