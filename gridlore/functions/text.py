@@ -46,7 +46,11 @@ def strip(c: Column | str) -> Column:
 
 
 def blank_to_null(c: Column | str) -> Column:
-    return F.nullif(strip(c), F.lit(""))
+    """Stripped text, null where nothing is left. Text that starts and ends in printable ASCII is taken as it is: most needs no search."""
+    text = _col(c)
+    last = F.right(text, F.lit(1))
+    bare = (text >= "!") & (text < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(bare, text).otherwise(F.nullif(strip(text), F.lit("")))
 
 
 def classify(c: Column | str, rules: Sequence[tuple[str, Sequence[str]]] = CATEGORY_KEYWORDS,
