@@ -43,11 +43,12 @@ def salt_of(spark: SparkSession, *columns: str) -> Column:
     return F.pmod(F.xxhash64(F.lit("salt"), *columns), F.lit(partitions(spark))).cast("int")
 
 
-def broadcast_bits(positions: DataFrame, column: str, bits: int):
-    """Broadcast bitmap of ``2**bits`` bits with the bits at ``column`` (0 to 2**bits - 1) set.
+#: log2 of the bits of the map that tells whose text a join may need: 8 MB, whatever the data.
+ID_BITS = 26
 
-    Its size is fixed whatever the data, so it serves as a filter that may pass too much, never too little.
-    """
+
+def _bitmap(positions: DataFrame, column: str, bits: int):
+    """``2**bits`` bits as 64-bit words, those at ``column`` (0 to 2**bits - 1) set."""
     import numpy as np
 
     words = positions.groupBy(F.shiftright(column, 6).alias("word")).agg(
@@ -55,7 +56,30 @@ def broadcast_bits(positions: DataFrame, column: str, bits: int):
     found = np.zeros(1 << (bits - 6), dtype=np.uint64)
     if words.num_rows:
         found[words["word"].to_numpy()] = words["mask"].to_numpy().astype(np.int64).view(np.uint64)
-    return positions.sparkSession.sparkContext.broadcast(found)
+    return found
+
+
+def broadcast_bits(positions: DataFrame, column: str, bits: int):
+    """Broadcast bitmap of ``2**bits`` bits with the bits at ``column`` (0 to 2**bits - 1) set.
+
+    Its size is fixed whatever the data, so it serves as a filter that may pass too much, never too little.
+    """
+    return positions.sparkSession.sparkContext.broadcast(_bitmap(positions, column, bits))
+
+
+def may_hold(rows: DataFrame, key: str = "doc_id", bits: int = ID_BITS) -> Column:
+    """Whether ``rows`` may have the value of the column ``key``: false only where they do not have it.
+
+    A table whose texts are wanted of few rows is filtered by this before it is shuffled.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    at = F.shiftrightunsigned(F.xxhash64(key), 64 - bits)
+    found = _bitmap(rows.select(at.alias("at")), "at", bits)
+    table = pa.table({"bits": pa.array([found.view(np.int64)], pa.list_(pa.int64()))})
+    words = rows.sparkSession.createDataFrame(table).scalar()
+    return F.getbit(F.get(words, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
 def released(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlore.llm.common import salt_of, table, text_of, unused, without_white
+from gridlore.llm.common import may_hold, salt_of, table, text_of, unused, without_white
 from gridlore.session import materialize
 
 
@@ -60,8 +60,10 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = content_h
     rows = thin.join(groups, ["h", "salt"])
 
     shared = groups.filter("n > 1")
+    # only texts that have company are shuffled
+    company = thin.join(shared.select("h", "salt"), ["h", "salt"], "left_semi")
     members = materialize(
-        _hashed(docs, digest).withColumn("salt", salt_of(spark, "doc_id"))
+        _hashed(docs.filter(may_hold(company)), digest).withColumn("salt", salt_of(spark, "doc_id"))
         .join(shared, ["h", "salt"]).withColumn("rank", _rank()), "members")
     kept_text = members.filter("rank = top").groupBy("h").agg(F.max("norm").alias("kept_norm"))
     asked = shared.select("h", "salt").join(materialize(kept_text, "kept-text"), "h")
@@ -84,7 +86,8 @@ def drop_copies(docs: DataFrame, digest: Callable[[Column], Column] = content_ha
     key = ["doc_id", "text_sha256", "n_points"]
     rows = exact_groups(docs, digest).groupBy(*key).agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
     marks = materialize(rows.filter("not kept or rows > 1"), "marks")
-    marked = docs.select("*", F.struct(
+    doubtful = may_hold(marks)  # no other row needs its text shuffled
+    marked = docs.filter(doubtful).select("*", F.struct(
         F.col("doc_id"), F.sha2(without_white(text_of()), 256).alias("text_sha256"),
         F.char_length(text_of()).cast("long").alias("n_points")).alias(name))
     same = [F.col(f"d.{name}.{k}").eqNullSafe(F.col(f"m.{k}")) for k in key]
@@ -92,7 +95,7 @@ def drop_copies(docs: DataFrame, digest: Callable[[Column], Column] = content_ha
     repeated = marks.filter("kept")
     if not repeated.isEmpty():
         stay = stay.unionByName(marked.alias("d").join(repeated.alias("m"), same, "left_semi").dropDuplicates([name]))
-    return stay.drop(name)
+    return docs.filter(~doubtful).union(stay.drop(name))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

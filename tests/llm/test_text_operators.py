@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridlore.llm import exact_dedup, features, jaccard_join, kernels, line_dedup, mixing, packing, quality_model, quality_rules, secrets, toxicity, url_filter
+from gridlore.llm import common, exact_dedup, features, jaccard_join, kernels, line_dedup, mixing, packing, quality_model, quality_rules, secrets, toxicity, url_filter
 from gridlore.llm.components import components
 from gridlore.llm.forests import contract, stars
 
@@ -144,6 +144,19 @@ def test_exact_copies_and_repeated_rows(spark):
     assert [r["doc_id"] for r in twice] == [1]
 
 
+def test_texts_without_company_are_not_shuffled(spark):
+    ids = spark.createDataFrame([(i * 7 if i else None,) for i in range(500)], "doc_id int")
+    asked = spark.range(5_000).select(F.col("id").cast("int").alias("doc_id")).unionByName(ids.filter("doc_id is null"))
+    held = {r["doc_id"] for r in asked.filter(common.may_hold(ids)).collect()}
+    assert held >= {r["doc_id"] for r in ids.collect()} and len(held) < 520
+    assert asked.filter(common.may_hold(ids.filter("false"))).isEmpty()
+    docs = documents(spark, [f"one two three four five number{i}" for i in range(40)] + ["one two three four five number3"])
+    for left in (exact_dedup.drop_copies(docs),):
+        plan = left._jdf.queryExecution().optimizedPlan()
+        assert plan.nodeName() == "Union" and "Join" not in plan.children().head().toString()
+        assert sorted(r["doc_id"] for r in left.collect()) == list(range(40))
+
+
 def test_quality_lines(spark):
     prose = "This is a sentence of many quite different words that ends well. " * 1
     texts = [None, "", prose, prose + "\nHome | About | News | Contact", "### ### $$$ %%% &&& *** ||| <<< >>> ###\n" + "tiny end.",
