@@ -43,8 +43,8 @@ def salt_of(spark: SparkSession, *columns: str) -> Column:
     return F.pmod(F.xxhash64(F.lit("salt"), *columns), F.lit(partitions(spark))).cast("int")
 
 
-#: log2 of the bits of the map that tells whose text a join may need: 8 MB, whatever the data.
-ID_BITS = 26
+#: log2 of the bits of the map that tells whose text a join may need: 2 MB, whatever the data.
+ID_BITS = 24
 
 
 def _bitmap(positions: DataFrame, column: str, bits: int):
@@ -67,19 +67,39 @@ def broadcast_bits(positions: DataFrame, column: str, bits: int):
     return positions.sparkSession.sparkContext.broadcast(_bitmap(positions, column, bits))
 
 
+def _held(words, at: Column) -> Column:
+    """The word at ``at`` of the array ``words``, as an expression over the rows of any table."""
+    import numpy as np
+    import pyarrow as pa
+
+    values = pa.array(words.view(np.int64))
+    table = pa.table({"words": pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)})
+    return F.get(SparkSession.active().createDataFrame(table).scalar(), at.cast("int"))
+
+
+def _slot(key: str, bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(key), 64 - bits)
+
+
 def may_hold(rows: DataFrame, key: str = "doc_id", bits: int = ID_BITS) -> Column:
     """Whether ``rows`` may have the value of the column ``key``: false only where they do not have it.
 
     A table whose texts are wanted of few rows is filtered by this before it is shuffled.
     """
-    import numpy as np
-    import pyarrow as pa
+    at = _slot(key, bits)
+    words = _bitmap(rows.select(at.alias("at")), "at", bits)
+    return F.getbit(_held(words, F.shiftright(at, 6)), at.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    at = F.shiftrightunsigned(F.xxhash64(key), 64 - bits)
-    found = _bitmap(rows.select(at.alias("at")), "at", bits)
-    table = pa.table({"bits": pa.array([found.view(np.int64)], pa.list_(pa.int64()))})
-    words = rows.sparkSession.createDataFrame(table).scalar()
-    return F.getbit(F.get(words, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+def classes_held(rows: DataFrame, key: str = "doc_id", bits: int = ID_BITS) -> Column:
+    """Sum of 1, 2, 4 and 8 for the classes 0 to 3 (column ``class``) that ``rows`` may have for the value of ``key``.
+
+    A class that is not in the sum is not theirs, so a value known to have a class has the only one there.
+    """
+    at = _slot(key, bits)
+    words = _bitmap(rows.select((at * 4 + F.col("class")).alias("at")), "at", bits + 2)
+    shift = (at.bitwiseAND(F.lit(15)) * 4).cast("int")
+    return F.call_function("shiftright", _held(words, F.shiftright(at, 4)), shift).bitwiseAND(F.lit(15)).cast("int")
 
 
 def released(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridlore.llm.common import WORD, table, text_of, unused
+from gridlore.llm.common import WORD, classes_held, table, text_of, unused
 from gridlore.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -145,16 +145,33 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         "doc_id", "size", "t.source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+#: Most different copy counts that are told by a map of ids.
+_TOLD = 4
+
+
 def take(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, with all their columns; documents without words are not taken."""
+    """The rows of ``docs`` as often as the mix takes them, with all their columns; documents without words are not taken.
+
+    Every row has a count in the mix, so where all ids of its hash have one count that is its own. Only the other rows, which
+    grow towards all beyond some ten million documents, are shuffled to be joined with the counts.
+    """
     size, again = unused(docs, "_size"), unused(docs, "_copy")
-    copies = mix(docs, **settings).select("doc_id", "source", "size", "copies").filter("copies > 0 and size > 0").distinct()
-    copies = materialize(copies, "taken")
-    sized = docs.withColumn(size, F.regexp_count(text_of(), F.lit(WORD)).cast("long"))
+    copies = mix(docs, **settings).select("doc_id", "source", "size", F.when(F.col("size") > 0, F.col("copies")).otherwise(0).alias("copies"))
+    copies = materialize(copies.distinct(), "taken")
+    counts = [r["copies"] for r in copies.select("copies").distinct().orderBy("copies").limit(_TOLD + 1).collect()]
+    if len(counts) <= _TOLD:
+        classed = copies.withColumn("class", F.array_position(F.array(*[F.lit(n) for n in counts or [0]]), F.col("copies")) - 1)
+        at = {1 << i: n for i, n in enumerate(counts)}
+        only = F.get(F.array(*[F.lit(at.get(i)).cast("int") for i in range(1 << _TOLD)]), classes_held(classed))
+    else:
+        only = F.lit(None).cast("int")
+    told = docs.withColumn(again, F.explode(F.array_repeat(F.lit(0), only)))
+    sized = docs.filter(only.isNull()).withColumn(size, F.regexp_count(text_of(), F.lit(WORD)).cast("long"))
     same = [F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), F.col("d.source").eqNullSafe(F.col("c.source")),
             F.col(f"d.{size}") == F.col("c.size")]
-    joined = sized.alias("d").join(copies.alias("c"), same)
-    return joined.withColumn(again, F.explode(F.sequence(F.lit(1), F.col("c.copies").cast("int")))).select("d.*").drop(size)
+    joined = sized.alias("d").join(copies.filter("copies > 0").alias("c"), same)
+    rest = joined.withColumn(again, F.explode(F.sequence(F.lit(1), F.col("c.copies").cast("int")))).select("d.*").drop(size)
+    return told.drop(again).union(rest)
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,12 +151,25 @@ def test_texts_without_company_are_not_shuffled(spark):
     assert held >= {r["doc_id"] for r in ids.collect()} and len(held) < 520
     assert asked.filter(common.may_hold(ids.filter("false"))).isEmpty()
     docs = documents(spark, [f"one two three four five number{i}" for i in range(40)] + ["one two three four five number3"])
-    for left in (exact_dedup.drop_copies(docs),):
+    for left in (exact_dedup.drop_copies(docs), jaccard_join.drop_near_copies(docs)):
         plan = left._jdf.queryExecution().optimizedPlan()
         assert plan.nodeName() == "Union" and "Join" not in plan.children().head().toString()
         assert sorted(r["doc_id"] for r in left.collect()) == list(range(40))
 
 
+def test_mixed_texts_of_one_count_are_not_shuffled(spark):
+    texts = [" ".join(["word"] * (i % 7)) for i in range(300)]
+    docs = documents(spark, [None, *texts], sources=["a", *(None if i % 3 == 0 else "ab"[i % 2] for i in range(300))], ids=[3, *range(300)])
+    taken = mixing.take(docs)
+    plan = taken._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union" and "Join" not in plan.children().head().toString()
+    expected = Counter()
+    for r in mixing.mix(docs).distinct().collect():
+        expected[r["doc_id"], r["source"], r["size"]] += r["copies"] if r["size"] else 0
+    got = Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in taken.collect())
+    assert got == +expected and len(set(expected.values())) > 2
+
+
 def test_quality_lines(spark):
     prose = "This is a sentence of many quite different words that ends well. " * 1
     texts = [None, "", prose, prose + "\nHome | About | News | Contact", "### ### $$$ %%% &&& *** ||| <<< >>> ###\n" + "tiny end.",
