@@ -120,3 +120,13 @@ def test_null_profile_and_confusion(spark):
     pairs = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 1.0)], "label double, prediction double")
     assert [tuple(r) for r in stats.confusion(pairs, "label", "prediction", [0.0, 1.0, 2.0]).collect()] == [
         (0.0, 1, 1, 0), (1.0, 0, 2, 0)]
+
+
+def test_distinct_rows_of_one_text_stand_together(spark):
+    """Rows that share their text are neighbours in what a task writes, which keeps shuffles and files small."""
+    df = spark.range(4000).selectExpr("concat('planta ', id % 5) AS item", "cast(id AS double) AS valor", "cast(id % 3 AS string) AS nota")
+    out = cleaning.distinct_by(df.unionByName(df), ["item", "valor"])
+    items = [r["item"] for r in out.collect()]
+    assert len(items) == 4000
+    # at most once a shuffle partition
+    assert sum(a != b for a, b in zip(items, items[1:])) < 5 * int(spark.conf.get("spark.sql.shuffle.partitions"))
