@@ -9,12 +9,14 @@ from gridlore.functions.numbers import currency_to_double
 from gridlore.functions.rows import one_row
 from gridlore.functions.text import KEY_FIELDS
 from gridlore.operators import batches, merge
+from gridlore.operators.cleaning import INTEGRATION_KEY, clean_facts
 from gridlore.operators.reshape import measures_to_rows
 from gridlore.plans import inputs
 from gridlore.plans.fact_queries import GENERATION_SQL, SOURCE_SQL, source_rows
 from gridlore.plans.inputs import CLEAN_SQL, FACTS_SQL, NORMAL_SQL, table
 from gridlore.plans.jobs import NEWEST, STORE_PARTITIONS, integrate, keyed
 from gridlore.plans.registry import query
+from gridlore.schema import FACT_COLUMNS
 from gridlore.session import materialize, new_path
 from gridlore.sources import dumps, files, sinks
 from gridlore.sources.discovery import discover
@@ -176,17 +178,25 @@ def _export_schema():
                          for c in _EXPORTED])
 
 
+def _export_rows(spark, folder):
+    """Clean facts for export. Of repeats the least by all columns in their order stays, and that it is least up to the last exported
+    column does not depend on those behind it: they are not read."""
+    upto = FACT_COLUMNS.index("categoria_energia") + 1
+    columns = [*FACT_COLUMNS[:upto], *[c for c in INTEGRATION_KEY if c not in FACT_COLUMNS[:upto]]]
+    return clean_facts(inputs.facts(spark, folder), columns).select(*_EXPORTED)
+
+
 @query("sink_csv_roundtrip", f"WITH {CLEAN_SQL} SELECT {', '.join(_EXPORTED)} FROM clean")
 def sink_csv_roundtrip(spark, folder):
     path = new_path(spark, "export-csv")
-    sinks.export_csv(inputs.clean(spark, folder).select(*_EXPORTED), path)
+    sinks.export_csv(_export_rows(spark, folder), path, compression="gzip")
     return files.read_csv(spark, path, _export_schema())
 
 
 @query("sink_json_roundtrip", f"WITH {CLEAN_SQL} SELECT {', '.join(_EXPORTED)} FROM clean")
 def sink_json_roundtrip(spark, folder):
     path = new_path(spark, "export-json")
-    sinks.export_json(inputs.clean(spark, folder).select(*_EXPORTED), path)
+    sinks.export_json(_export_rows(spark, folder), path, compression="gzip")
     return files.read_collection(spark, _export_schema(), "json", path)
 
 

@@ -18,16 +18,16 @@ def _ordered(df: DataFrame, order: Sequence[str], as_text: Sequence[str]) -> Dat
 
 
 def export_csv(df: DataFrame, path: str, order: Sequence[str] = tuple(EXPORT_ORDER),
-               as_text: Sequence[str] = ()) -> None:
+               as_text: Sequence[str] = (), compression: str = "none") -> None:
     """Ordered CSV: files in name order hold the rows in order. Blank and null cells stay apart."""
     _ordered(df, order, as_text).write.option("header", True).option("escape", '"').option("nullValue", "").option(
-        "emptyValue", '""').mode("overwrite").csv(path)
+        "emptyValue", '""').option("compression", compression).mode("overwrite").csv(path)
 
 
 def export_json(df: DataFrame, path: str, order: Sequence[str] = tuple(EXPORT_ORDER),
-                as_text: Sequence[str] = ()) -> None:
-    """Ordered JSON records, one per line; fields that are null are written too."""
-    _ordered(df, order, as_text).write.option("ignoreNullFields", False).mode("overwrite").json(path)
+                as_text: Sequence[str] = (), compression: str = "none") -> None:
+    """Ordered JSON records, one per line; fields that are null are written too. A compressed file is read by one task."""
+    _ordered(df, order, as_text).write.option("ignoreNullFields", False).option("compression", compression).mode("overwrite").json(path)
 
 
 def write_facts(df: DataFrame, path: str, partition_by: Sequence[str] = ("dataset", "periodo")) -> None:

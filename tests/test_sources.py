@@ -1,3 +1,5 @@
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,3 +155,17 @@ def test_next_pages_stop_at_the_limit(spark, rows):
     df = spark.createDataFrame([(i, u) for i, u in enumerate(
         ["http://a.test/l?page=1&r=x", "http://a.test/l?q=1&page=2", "http://a.test/l?page=3", "http://a.test/l"])], "id int, url string")
     assert rows(pages.next_pages(df, ["id"])) == [(0, 1, "http://a.test/l?page=2&r=x"), (1, 2, "http://a.test/l?q=1&page=3")]
+
+
+def test_compressed_exports_read_back(spark, rows, tmp_path):
+    """Compressed exports are small and hold the rows of plain ones."""
+    df = spark.range(5000).selectExpr("concat('m', id % 3) AS integrante", "'d' AS dataset", "cast(id AS string) AS item",
+                                      "CASE id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'una, \"nota\"' END AS nota")
+    for write, read in ((sinks.export_csv, lambda p: files.read_csv(spark, p, df.schema)),
+                        (sinks.export_json, lambda p: files.read_collection(spark, df.schema, "json", p))):
+        plain, packed = (str(tmp_path / f"{write.__name__}-{name}") for name in ("plain", "packed"))
+        write(df, plain)
+        write(df, packed, compression="gzip")
+        assert rows(read(packed)) == rows(read(plain)) and read(packed).count() == 5000
+        size = [sum(f.stat().st_size for f in pathlib.Path(p).glob("part-*")) for p in (plain, packed)]
+        assert size[1] * 3 < size[0]
