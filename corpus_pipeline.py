@@ -35,7 +35,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 2,048 tokens."""
-    return pack_documents(docs, block_bytes=1 << 20)  # the executors still hold what earlier stages left
+    return pack_documents(docs, block_bytes=1 << 16)  # the executors still hold what earlier stages left
 
 
 STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]
