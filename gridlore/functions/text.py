@@ -48,8 +48,8 @@ def strip(c: Column | str) -> Column:
 def blank_to_null(c: Column | str) -> Column:
     """Stripped text, null where nothing is left. Text that starts and ends in printable ASCII is taken as it is: most needs no search."""
     text = _col(c)
-    last = F.right(text, F.lit(1))
-    bare = (text >= "!") & (text < "\x7f") & (last >= "!") & (last < "\x7f")
+    last = F.substring(text.cast("binary"), -1, 1)  # a byte: characters would be counted up to it
+    bare = (text >= "!") & (text < "\x7f") & (last >= F.lit(b"!")) & (last < F.lit(b"\x7f"))
     return F.when(bare, text).otherwise(F.nullif(strip(text), F.lit("")))
 
 
