@@ -91,15 +91,23 @@ def may_hold(rows: DataFrame, key: str = "doc_id", bits: int = ID_BITS) -> Colum
     return F.getbit(_held(words, F.shiftright(at, 6)), at.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-def classes_held(rows: DataFrame, key: str = "doc_id", bits: int = ID_BITS) -> Column:
-    """Sum of 1, 2, 4 and 8 for the classes 0 to 3 (column ``class``) that ``rows`` may have for the value of ``key``.
+def class_held(rows: DataFrame, key: str = "doc_id", bits: int = ID_BITS) -> Column:
+    """The class (column ``class``) that ``rows`` have for the value of ``key``, if it is 0, 1 or 2 and the only one there; else 3.
 
-    A class that is not in the sum is not theirs, so a value known to have a class has the only one there.
+    Two bits a hash: the value is part of the plan, which the driver holds several times.
     """
+    import numpy as np
+
     at = _slot(key, bits)
-    words = _bitmap(rows.select((at * 4 + F.col("class")).alias("at")), "at", bits + 2)
-    shift = (at.bitwiseAND(F.lit(15)) * 4).cast("int")
-    return F.call_function("shiftright", _held(words, F.shiftright(at, 4)), shift).bitwiseAND(F.lit(15)).cast("int")
+    each = rows.groupBy(at.alias("at")).agg(F.min("class").alias("least"), F.max("class").alias("most"))
+    code = F.when((F.col("least") == F.col("most")) & (F.col("least") < 3), F.col("least")).otherwise(3).cast("long")
+    table = each.select("at", code.alias("code")).groupBy(F.shiftright("at", 5).alias("word")).agg(
+        F.expr("bit_or(shiftleft(code, cast(at & 31 as int) * 2))").alias("codes")).toArrow()
+    words = np.zeros(1 << (bits - 5), dtype=np.uint64)
+    if table.num_rows:
+        words[table["word"].to_numpy()] = table["codes"].to_numpy().view(np.uint64)
+    place = (at.bitwiseAND(F.lit(31)) * 2).cast("int")
+    return F.call_function("shiftright", _held(words, F.shiftright(at, 5)), place).bitwiseAND(F.lit(3)).cast("int")
 
 
 def released(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:

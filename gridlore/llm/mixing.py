@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridlore.llm.common import WORD, classes_held, table, text_of, unused
+from gridlore.llm.common import WORD, class_held, table, text_of, unused
 from gridlore.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -145,8 +145,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         "doc_id", "size", "t.source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-#: Most different copy counts that are told by a map of ids.
-_TOLD = 4
+#: Different copy counts that are told by a map of ids, all there are unless ``most_copies`` is raised; rows of others are joined.
+_TOLD = 3
 
 
 def take(docs: DataFrame, **settings) -> DataFrame:
@@ -158,13 +158,10 @@ def take(docs: DataFrame, **settings) -> DataFrame:
     size, again = unused(docs, "_size"), unused(docs, "_copy")
     copies = mix(docs, **settings).select("doc_id", "source", "size", F.when(F.col("size") > 0, F.col("copies")).otherwise(0).alias("copies"))
     copies = materialize(copies.distinct(), "taken")
-    counts = [r["copies"] for r in copies.select("copies").distinct().orderBy("copies").limit(_TOLD + 1).collect()]
-    if len(counts) <= _TOLD:
-        classed = copies.withColumn("class", F.array_position(F.array(*[F.lit(n) for n in counts or [0]]), F.col("copies")) - 1)
-        at = {1 << i: n for i, n in enumerate(counts)}
-        only = F.get(F.array(*[F.lit(at.get(i)).cast("int") for i in range(1 << _TOLD)]), classes_held(classed))
-    else:
-        only = F.lit(None).cast("int")
+    counts = [r["copies"] for r in copies.select("copies").distinct().orderBy("copies").limit(_TOLD).collect()]
+    place = F.array_position(F.array(*[F.lit(n) for n in counts or [0]]), F.col("copies")) - 1
+    classed = copies.withColumn("class", F.when(place >= 0, place).otherwise(_TOLD))
+    only = F.get(F.array(*[F.lit(n).cast("int") for n in counts], *[F.lit(None).cast("int")] * (_TOLD + 1 - len(counts))), class_held(classed))
     told = docs.withColumn(again, F.explode(F.array_repeat(F.lit(0), only)))
     sized = docs.filter(only.isNull()).withColumn(size, F.regexp_count(text_of(), F.lit(WORD)).cast("long"))
     same = [F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), F.col("d.source").eqNullSafe(F.col("c.source")),

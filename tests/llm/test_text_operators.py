@@ -170,6 +170,20 @@ def test_mixed_texts_of_one_count_are_not_shuffled(spark):
     assert got == +expected and len(set(expected.values())) > 2
 
 
+def test_two_bits_tell_a_class_only_where_it_is_alone(spark):
+    rows = spark.createDataFrame([(i, c) for i in range(400) for c in ({0, 1} if i % 8 == 7 else {i % 4})], "doc_id long, class int")
+    got = {r[0]: r[1] for r in rows.select("doc_id", common.class_held(rows, bits=22)).collect()}
+    assert sum(got[i] != (3 if i % 8 == 7 else i % 4) for i in range(400)) <= 1
+
+
+def test_mixing_takes_counts_that_no_class_holds(spark):
+    docs = documents(spark, [" ".join(["word"] * (1 + i % 9)) for i in range(400)], sources=[f"s{i % 5}" for i in range(400)], ids=range(400))
+    settings = dict(weights=(9, 4, 3, 2, 1), share=2.5, most_copies=5)
+    expected = {r["doc_id"]: r["copies"] for r in mixing.mix(docs, **settings).collect()}
+    assert len(set(expected.values())) > 3
+    assert Counter(r["doc_id"] for r in mixing.take(docs, **settings).collect()) == +Counter(expected)
+
+
 def test_quality_lines(spark):
     prose = "This is a sentence of many quite different words that ends well. " * 1
     texts = [None, "", prose, prose + "\nHome | About | News | Contact", "### ### $$$ %%% &&& *** ||| <<< >>> ###\n" + "tiny end.",
