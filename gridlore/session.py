@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Removes the shuffle files of an execution when it ends.
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_fallback: list[str] = []
 
 
@@ -50,14 +54,29 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gridlore/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Writes started in here leave no shuffle files; else these stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP_KEY, None)
+    spark.conf.set(CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_KEY)
+        else:
+            spark.conf.set(CLEANUP_KEY, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors, and gives later stages
-    column pruning and true size statistics.
+    column pruning and true size statistics. The shuffle files of the write go when it ends.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
