@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridlore.session import materialize
+from gridlore.session import materialize, shuffles_removed
 
 STATE = "_estado"
 
@@ -114,8 +114,9 @@ def _stored(source: DataFrame, path: str, schema: StructType | None = None) -> D
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replaces the partitions ``df`` has rows for; large ones are split over tasks, small ones share one."""
-    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    with shuffles_removed(df.sparkSession):
+        (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
 
 
 def replace_where(target: DataFrame, source: DataFrame, condition: Column) -> DataFrame:
